@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import simhash
+from lodestone.llm import bpe, langid, mixing, pii, simhash
 from lodestone.session import table
 
 
@@ -14,8 +14,31 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.training_order(mixing.mix(table(spark, sf_dir, "documents")))
+    return mixed.withColumnRenamed("id", "doc_id")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = langid.train_and_identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return labelled.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), "base_sha256", "spans")
+
+
 QUERIES = {
+    "op3_mixing": op3_mixing,
+    "op4_bpe": op4_bpe,
     "op5_simhash": op5_simhash,
+    "op7_langid": op7_langid,
+    "op8_pii": op8_pii,
 }
 
 ORACLES: dict[str, str] = {}
