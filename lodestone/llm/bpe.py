@@ -174,7 +174,7 @@ _IDS = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))])
 _TEXT = T.StructType([T.StructField("decoded", T.StringType())])
 
 
-def _with_encoder(df: DataFrame, column: str, path: str | None, fields: T.StructType, row) -> DataFrame:
+def _with_encoder(df: DataFrame, column: str, path: str | None, fields: T.StructType, row, drop: tuple[str, ...] = ()) -> DataFrame:
     held = df.sparkSession.sparkContext.broadcast(read_vocabulary(path or default_path()))
 
     def start():
@@ -186,7 +186,7 @@ def _with_encoder(df: DataFrame, column: str, path: str | None, fields: T.Struct
 
         return compute
 
-    return with_columns(df, [column], fields, start)
+    return with_columns(df, [column], fields, start, drop)
 
 
 def encode(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -200,10 +200,10 @@ def decode(df: DataFrame, ids_col: str = "ids", path: str | None = None) -> Data
 
 
 def round_trip(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
-    """``docs`` with the token count and digests of the ids and of the text decoded from them."""
+    """``docs`` without the text, with the token count and digests of the ids and of the text decoded from them."""
 
     def row(encoder: Encoder, text: str | None):
         ids = encoder.encode(text)
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(encoder.decode(ids).encode()).hexdigest()
 
-    return _with_encoder(docs, text_col, path, _STATS, row)
+    return _with_encoder(docs, text_col, path, _STATS, row, (text_col,))

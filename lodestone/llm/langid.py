@@ -280,18 +280,18 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0
 
 
-def identify(docs: DataFrame, model: Crf, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``."""
+def identify(docs: DataFrame, model: Crf, text_col: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
+    """``docs``, less the columns ``drop``, with ``lang_pred`` and ``score``."""
     fields = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def start():
         scorer = _Scorer(model)
         return lambda texts: predict_texts(model, texts.to_pylist(), scorer)
 
-    return with_columns(docs, [text_col], fields, start)
+    return with_columns(docs, [text_col], fields, start, drop)
 
 
-def train_and_identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 250) -> DataFrame:
+def train_and_identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 250, drop: tuple[str, ...] = ()) -> DataFrame:
     """Fit on the rows outside the held-out fold, then label every row."""
     model = fit(sample_labelled(docs.filter(~held_out(id_col)), text_col, lang_col, per_language))
-    return identify(docs.withColumn("held_out", F.coalesce(held_out(id_col), F.lit(False))), model, text_col)
+    return identify(docs.withColumn("held_out", F.coalesce(held_out(id_col), F.lit(False))), model, text_col, drop)

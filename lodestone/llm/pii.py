@@ -163,7 +163,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
         return compute
 
-    return with_columns(docs, [text_col], _SCANNED, start).drop(text_col)
+    return with_columns(docs, [text_col], _SCANNED, start, (text_col,))
 
 
 def learn_patterns(scanned: DataFrame, rounds: int = 3, min_support: int = 3, min_confidence: float = 0.7, accept: float = 0.8) -> DataFrame:
