@@ -162,15 +162,12 @@ class ArchiveWriter:
     def _begin(self) -> None:
         import zstandard
 
-        dictionary = None
         try:
-            if len(self.early) >= 8:
-                dictionary = zstandard.train_dictionary(self.dictionary_bytes, self.early, k=256, d=8)
-        except zstandard.ZstdError:  # too little to learn from
-            dictionary = None
-        if dictionary is not None:
-            body = dictionary.as_bytes()
-            self._put(DICTIONARY_MAGIC.to_bytes(4, "little") + len(body).to_bytes(4, "little") + body)
+            dictionary = zstandard.train_dictionary(self.dictionary_bytes, self.early, k=256, d=8)
+        except (zstandard.ZstdError, ValueError):  # too few records to train on: their own bytes serve
+            dictionary = zstandard.ZstdCompressionDict(b"".join(self.early)[-self.dictionary_bytes :], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        body = dictionary.as_bytes()
+        self._put(DICTIONARY_MAGIC.to_bytes(4, "little") + len(body).to_bytes(4, "little") + body)
         self.coder = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_checksum=True)
         for data in self.early:
             self._put(self.coder.compress(data))
