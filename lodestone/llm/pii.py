@@ -214,7 +214,10 @@ def find(docs: DataFrame, text_col: str = "text", **learning) -> DataFrame:
     )
     names = F.array(*map(F.lit, KINDS))
     text = F.transform(merged, lambda s: F.concat_ws(":", F.get(names, s.kind), s.start.cast("string"), s.end.cast("string")))
-    return scanned.join(added, "text_key", "left").withColumn("spans", F.array_join(text, ",")).drop("mentions", "added", "text_key")
+    # Most rows have no candidate and so no key; joined, their nulls would all meet in one task.
+    joined = scanned.filter("text_key is not null").join(added, "text_key", "left")
+    plain = scanned.filter("text_key is null").withColumn("added", F.lit(None).cast(added.schema["added"].dataType))
+    return joined.unionByName(plain).withColumn("spans", F.array_join(text, ",")).drop("mentions", "added", "text_key")
 
 
 def redact(docs: DataFrame, text_col: str = "text", **learning) -> DataFrame:
@@ -222,7 +225,10 @@ def redact(docs: DataFrame, text_col: str = "text", **learning) -> DataFrame:
     scanned = materialize(scan(docs.select(text_col), text_col).select("text_key", "mentions").filter(F.size("mentions") > 0), "pii-scan")
     added = added_spans(scanned, learn_patterns(scanned, **learning))
     key, extra = "__pii_key", "__pii_added"
-    joined = docs.withColumn(key, F.sha2(F.col(text_col).cast("binary"), 256)).join(added.select(F.col("text_key").alias(key), F.col("added").alias(extra)), key, "left").drop(key)
+    kinds = F.lit(None).cast(added.schema["added"].dataType)
+    keyed = docs.filter(F.col(text_col).isNotNull()).withColumn(key, F.sha2(F.col(text_col).cast("binary"), 256))
+    joined = keyed.join(added.select(F.col("text_key").alias(key), F.col("added").alias(extra)), key, "left").drop(key)
+    joined = joined.unionByName(docs.filter(F.col(text_col).isNull()).withColumn(extra, kinds))
 
     def start():
         def compute(texts, found):
