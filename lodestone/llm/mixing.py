@@ -83,7 +83,7 @@ def mix(
     budget: float = 1.5,
     max_repeats: float = 2.0,
     seed: int = 2024,
-    bucket_rows: int = 20_000,
+    bucket_rows: int = 2_000,
     keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """``id, size, source_size, target, taken, copies, position`` per row, plus the columns ``keys``.
