@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import search_text
@@ -18,7 +18,7 @@ class EdgeType:
     name: str
     from_type: str
     to_type: str
-    order: tuple[Column, ...] = ()
+    order: tuple[str, ...] = ()  # column names; a leading minus sorts downwards
 
 
 def candidate_scores(nodes: DataFrame, query: str, root_name: str, fields: list[str]) -> DataFrame:
@@ -47,7 +47,7 @@ def extract_layer(tables: dict[EdgeType, DataFrame], frontier: DataFrame, cap: i
         both = a.select(*names).unionByName(b.select(*names)).groupBy("from", "to", "relation").agg(F.max("weight").alias("weight"))
         if cap:
             # A sorted limit keeps the best of every task first, so no task sees all edges of the hop.
-            both = both.orderBy(*kind.order, "from", "to", "relation").limit(cap)
+            both = both.orderBy(*[F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in kind.order], "from", "to", "relation").limit(cap)
         part = both.select(F.lit(kind.name).alias("edge_type"), F.lit(kind.from_type).alias("from_type"), F.lit(kind.to_type).alias("to_type"), *names)
         out = part if out is None else out.unionByName(part)
     return out

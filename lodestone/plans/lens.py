@@ -83,7 +83,7 @@ def walk_sql(name: str, seed: str, hops: int) -> str:
 
 def typed_tables(spark: SparkSession, sf_dir: str) -> dict[EdgeType, DataFrame]:
     """Geography and trade as typed edge tables."""
-    heavy = (F.desc("weight"),)
+    heavy = ("-weight",)
     s = lambda c: F.col(c).cast("string")
     nation, customer, supplier, orders = (table(spark, sf_dir, t) for t in ("nation", "customer", "supplier", "orders"))
     cols = lambda df, a, b, rel, w: df.select(s(a).alias("from"), s(b).alias("to"), F.lit(rel).alias("relation"), w.cast("double").alias("weight"))

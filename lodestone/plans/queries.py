@@ -521,13 +521,13 @@ def layered_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH k AS (SELECT unnest(['steel', 'brass green', 'S000000001']) AS keyword),
+    """WITH k AS (SELECT unnest(['Widget', 'small bolt', 'p7']) AS keyword),
 f AS (SELECT 'P' || p_partkey AS entity_id, 'display_name' AS field, lower(p_name) AS t FROM part UNION ALL SELECT 'P' || p_partkey, 'description', lower(p_type) FROM part UNION ALL SELECT 'P' || p_partkey, 'entity_id', lower('P' || p_partkey) FROM part)
 SELECT DISTINCT keyword, entity_id, field FROM f JOIN k ON CASE WHEN field = 'entity_id' THEN t = lower(keyword) ELSE contains(trim(regexp_replace(regexp_replace(t, '[-_]+', ' ', 'g'), '\\s+', ' ', 'g')), lower(keyword)) END"""
 )
 def seed_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "part").select(F.concat(F.lit("P"), "p_partkey").alias("entity_id"), F.col("p_name").alias("display_name"), F.col("p_type").alias("description"))
-    words = table(spark, sf_dir, "region").limit(1).select(F.explode(F.array(F.lit("steel"), F.lit("brass green"), F.lit("S000000001"))).alias("keyword"))
+    words = table(spark, sf_dir, "region").limit(1).select(F.explode(F.array(F.lit("Widget"), F.lit("small bolt"), F.lit("p7"))).alias("keyword"))
     return layered.match_entities(e, words)
 
 
@@ -552,13 +552,13 @@ def nhop_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, concat_ws(',', CASE WHEN contains(lower(p_name), 'steel') THEN 'name' END, CASE WHEN contains(lower(p_type), 'steel') THEN 'kind' END) AS matched_fields,
-  CASE WHEN lower(p_name) = 'steel green' THEN 1000 ELSE 0 END + CASE WHEN lower(p_name) = 'steel' THEN 500 ELSE 0 END + CASE WHEN contains(lower(p_name), 'steel') THEN 100 ELSE 0 END AS selection_score
-FROM part WHERE contains(lower(p_name), 'steel') OR contains(lower(p_type), 'steel')"""
+    """SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, concat_ws(',', CASE WHEN contains(lower(p_name), 'small') THEN 'name' END, CASE WHEN contains(lower(p_type), 'small') THEN 'kind' END) AS matched_fields,
+  CASE WHEN lower(p_name) = 'small bolt' THEN 1000 ELSE 0 END + CASE WHEN lower(p_name) = 'small' THEN 500 ELSE 0 END + CASE WHEN contains(lower(p_name), 'small') THEN 100 ELSE 0 END AS selection_score
+FROM part WHERE contains(lower(p_name), 'small') OR contains(lower(p_type), 'small')"""
 )
 def candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), F.array("p_type").alias("kind"))
-    return subgraph.candidate_scores(nodes, "Steel", "steel green", ["name", "kind"])
+    return subgraph.candidate_scores(nodes, "Small", "small bolt", ["name", "kind"])
 
 
 # ---------------------------------------------------------------- export and views
@@ -588,12 +588,15 @@ def node_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.nodes({t: table(spark, sf_dir, t) for t in ("region", "nation")}, _KEYS)
 
 
+_LINKED = _key_sql("nation", "n_nationkey").replace("|| n_nationkey ||", "|| s_nationkey ||")
+
+
 @query(
     f"""WITH n AS (SELECT {_key_sql('supplier', 's_suppkey')} AS node_key, s_nationkey FROM supplier UNION ALL SELECT {_key_sql('nation', 'n_nationkey')}, n_nationkey FROM nation UNION ALL SELECT {_key_sql('region', 'r_regionkey')}, NULL FROM region),
-e AS (SELECT {_key_sql('supplier', 's_suppkey')} AS source_key, {_key_sql('nation', 's_nationkey')} AS target_key FROM supplier ORDER BY 1 LIMIT 40),
+e AS (SELECT {_key_sql('supplier', 's_suppkey')} AS source_key, {_LINKED} AS target_key FROM supplier ORDER BY 1 LIMIT 40),
 seen AS (SELECT source_key AS node_key FROM e UNION SELECT target_key FROM e)
 SELECT node_key, 'linked' AS how FROM seen UNION ALL
-SELECT node_key, 'alone' FROM n WHERE node_key NOT IN (SELECT {_key_sql('supplier', 's_suppkey')} FROM supplier UNION SELECT {_key_sql('nation', 's_nationkey')} FROM supplier)"""
+SELECT node_key, 'alone' FROM n WHERE node_key NOT IN (SELECT {_key_sql('supplier', 's_suppkey')} FROM supplier UNION SELECT {_LINKED} FROM supplier)"""
 )
 def graph_view_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {t: table(spark, sf_dir, t) for t in ("region", "nation", "supplier")}
