@@ -70,7 +70,7 @@ def capped_selection(works: DataFrame, passes: Column, order: list[str], explici
 def screening_batches(works: DataFrame, order: list[str], size: int = 20) -> DataFrame:
     """Adds ``batch`` and the 1-based ``number`` inside it, in scan order."""
     n = F.row_number().over(Window.orderBy(*order)) - 1
-    return works.withColumn("n", n).withColumn("batch", F.floor(F.col("n") / size).cast("long")).withColumn("number", F.col("n") % size + 1).drop("n")
+    return works.withColumn("__n", n).withColumn("batch", F.floor(F.col("__n") / size).cast("long")).withColumn("number", F.col("__n") % size + 1).drop("__n")
 
 
 def screen(batched: DataFrame, screener, text_col: str = "text") -> DataFrame:
@@ -93,8 +93,8 @@ def greedy_batches(docs: DataFrame, length: Column, limit: int, order: list[str]
     ``by``; texts are never gathered.  A row above the limit is a batch of its own.
     """
     n = F.row_number().over(Window.partitionBy(*(by or [])).orderBy(*order))
-    numbered = docs.withColumn("n", n).withColumn("len", length.cast("long"))
-    keys = [*(by or []), "n"]
+    numbered = docs.withColumn("__len", length.cast("long")).withColumn("__n", n)
+    keys = [*(by or []), "__n"]
 
     def pack(batches):
         at, used, group = -1, 0, object()
@@ -109,12 +109,12 @@ def greedy_batches(docs: DataFrame, length: Column, limit: int, order: list[str]
                 else:
                     used += separator + size
                 out.append(at)
-            yield pdf.drop(columns="len").assign(batch=out)
+            yield pdf.drop(columns="__len").assign(batch=out)
 
-    thin = numbered.select(*keys, "len")
-    ordered = thin.repartition(*by).sortWithinPartitions(*keys) if by else thin.coalesce(1).sortWithinPartitions("n")
+    thin = numbered.select(*keys, "__len")
+    ordered = thin.repartition(*by).sortWithinPartitions(*keys) if by else thin.coalesce(1).sortWithinPartitions("__n")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in thin.select(*keys).schema) + ", batch long"
-    return numbered.join(ordered.mapInPandas(pack, schema), keys).drop("n", "len")
+    return numbered.join(ordered.mapInPandas(pack, schema), keys).drop("__n", "__len")
 
 
 def upsert_works(old: DataFrame, new: DataFrame) -> DataFrame:
