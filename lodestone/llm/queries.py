@@ -68,5 +68,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc": warc.OP1_SQL,
     "op2_preference": preference.OP2_SQL,
 }

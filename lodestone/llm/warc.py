@@ -349,3 +349,18 @@ def page_records(records: DataFrame) -> DataFrame:
 def archive_round_trip(pages: DataFrame, **writing) -> DataFrame:
     """Writes a record per page and returns what the archives say of each page."""
     return page_records(read_manifest(write_pages(pages, **writing), with_payload=False))
+
+
+_NIBBLES = "['" + "', '".join(f"{i:04b}" for i in range(16)) + "']"
+OP1_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+h AS (SELECT page_id, octet_length(body) AS n, sha1(body) AS digest FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: {_NIBBLES}[instr('0123456789abcdef', substr(digest, i, 1))]), '') AS bits,
+             min(page_id) OVER (PARTITION BY digest) AS root FROM h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + 16 * CAST(substr(bits, 5 * j + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * j + 2, 1) AS INT) + 4 * CAST(substr(bits, 5 * j + 3, 1) AS INT)
+           + 2 * CAST(substr(bits, 5 * j + 4, 1) AS INT) + CAST(substr(bits, 5 * j + 5, 1) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN root = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN root <> page_id THEN root END AS refers_to
+FROM b
+"""
