@@ -148,3 +148,39 @@ def keep(docs: DataFrame, id_col: str = "doc_id", **rules) -> DataFrame:
     """The rows of ``docs`` that are kept; rows that repeat an id are kept if any of them is."""
     kept = judge(docs, id_col, **rules).filter("kept").select(F.col("id").alias("__kept")).distinct()
     return docs.join(kept, docs[id_col].eqNullSafe(kept["__kept"]), "left_semi")
+
+
+def _level_sql(name: str, keys: str, i: int) -> str:
+    quartile = lambda q: f"min(val) FILTER (r{i} >= {q} * c{i})"
+    group = f"measure{', ' + keys if keys else ''}"
+    return f"{name} AS (SELECT {group}, max(c{i}) AS total, {quartile(0.25)} AS q1, {quartile(0.75)} AS q3 FROM ranked GROUP BY {group})"
+
+
+OP10_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce('=' || lang, '-') AS lk, coalesce('=' || source, '-') AS sk FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln FROM d),
+g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)),
+dup AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM dup, (SELECT unnest([0, 1, 2]) AS k) GROUP BY 1),
+m AS (SELECT doc_id, lk, sk, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ln) AS BIGINT) AS n_lines,
+             CAST(len(ln) - len(list_distinct(ln)) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN cov USING (doc_id)),
+s AS (SELECT doc_id, lk, sk, unnest(['mean_length', 'symbol_share', 'line_share', 'repeat_share']) AS measure,
+             unnest([word_chars / greatest(n_words, 1), n_symbols / greatest(n_words, 1), n_dup_lines / greatest(n_lines, 1), n_repeat_words / greatest(n_words, 1)]) AS v FROM m),
+b AS (SELECT *, CASE WHEN v > 0 THEN CAST(ceil(ln(v) / ln({GAMMA}) - 1e-9) AS INT) END AS bucket FROM s),
+ranked AS (SELECT *, coalesce(2 * pow({GAMMA}, bucket) / ({GAMMA} + 1), 0.0) AS val,
+             row_number() OVER (PARTITION BY measure, lk, sk ORDER BY bucket NULLS FIRST) AS r1, count(*) OVER (PARTITION BY measure, lk, sk) AS c1,
+             row_number() OVER (PARTITION BY measure, lk ORDER BY bucket NULLS FIRST) AS r2, count(*) OVER (PARTITION BY measure, lk) AS c2,
+             row_number() OVER (PARTITION BY measure ORDER BY bucket NULLS FIRST) AS r3, count(*) OVER (PARTITION BY measure) AS c3 FROM b),
+{_level_sql('own', 'lk, sk', 1)}, {_level_sql('tongue', 'lk', 2)}, {_level_sql('everything', '', 3)},
+p AS (SELECT own.measure, own.lk, own.sk,
+             CASE WHEN own.total >= 50 THEN own.q1 WHEN tongue.total >= 50 THEN tongue.q1 ELSE everything.q1 END AS q1,
+             CASE WHEN own.total >= 50 THEN own.q3 WHEN tongue.total >= 50 THEN tongue.q3 ELSE everything.q3 END AS q3,
+             CASE own.measure {' '.join(f"WHEN '{k}' THEN {v}" for k, v in MARGINS.items())} END AS margin
+      FROM own JOIN tongue ON own.measure = tongue.measure AND own.lk = tongue.lk JOIN everything ON own.measure = everything.measure),
+f AS (SELECT measure, lk, sk, q1 - greatest({REACH} * (q3 - q1), margin) AS low, q3 + greatest({REACH} * (q3 - q1), margin) AS high FROM p),
+inside AS (SELECT doc_id, bool_and(v <= high + 1e-9 AND v >= low - 1e-9) AS ok FROM s JOIN f USING (measure, lk, sk) GROUP BY doc_id),
+judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND ok AS kept FROM judged JOIN inside USING (doc_id)
+"""

@@ -70,4 +70,5 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_warc": warc.OP1_SQL,
     "op2_preference": preference.OP2_SQL,
+    "op10_quality": quality.OP10_SQL,
 }
