@@ -440,18 +440,20 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
-_MEMBERS = f"{lens.SPARSE_SQL}, {lens.walk_sql('s', chr(39) + 'S1' + chr(39), 4)}, {lens.walk_sql('t', chr(39) + 'S2' + chr(39), 4)}, m AS (SELECT s.node, s.depth AS ds, t.depth AS dt FROM s JOIN t USING (node) WHERE s.depth + t.depth <= 4)"
+_ODD, _EVEN = ("S1", "S3", "S5", "S7", "S9"), ("S2", "S4", "S6", "S8", "S10")
+_LEFT, _RIGHT = (", ".join(f"'{x}'" for x in names) for names in (_ODD, _EVEN))
+_MEMBERS = f"{lens.SPARSE_SQL}, {lens.walk_sql('s', _LEFT, 4)}, {lens.walk_sql('t', _RIGHT, 4)}, m AS (SELECT s.node, s.depth AS ds, t.depth AS dt FROM s JOIN t USING (node) WHERE s.depth + t.depth <= 4)"
 
 
 @query(
     f"""WITH {_MEMBERS}, ends AS (SELECT source AS node, target AS other, confidence FROM edges WHERE source IN (SELECT node FROM m) AND target IN (SELECT node FROM m)
   UNION ALL SELECT target, source, confidence FROM edges WHERE source IN (SELECT node FROM m) AND target IN (SELECT node FROM m)),
 f AS (SELECT node, count(DISTINCT other) AS degree, avg(confidence) AS mean FROM ends GROUP BY 1)
-SELECT m.node, ds, dt, round(ln(1 + coalesce(degree, 0)) + CASE WHEN m.node IN ('S1', 'S2') THEN 1.0 ELSE 0.0 END + 0.25 * coalesce(mean, 0) - 0.05 * (ds + dt), 6) AS score FROM m LEFT JOIN f USING (node)"""
+SELECT m.node, ds, dt, round(ln(1 + coalesce(degree, 0)) + CASE WHEN m.node IN ({_LEFT}, {_RIGHT}) THEN 1.0 ELSE 0.0 END + 0.25 * coalesce(mean, 0) - 0.05 * (ds + dt), 6) AS score FROM m LEFT JOIN f USING (node)"""
 )
 def corridor_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = materialize(lens.sparse_edges(spark, sf_dir), "sparse-edges")
-    a, b = _seeds(spark, sf_dir, "S1"), _seeds(spark, sf_dir, "S2")
+    a, b = _seeds(spark, sf_dir, *_ODD), _seeds(spark, sf_dir, *_EVEN)
     m = materialize(corridor.membership(edges, a, b, 4), "members")
     return m.join(corridor.entity_scores(m, edges, a.unionByName(b)), "node").select("node", "ds", "dt", F.round("score", 6).alias("score"))
 
@@ -463,20 +465,20 @@ FROM steps JOIN m x ON x.node = source JOIN m y ON y.node = target WHERE y.dt =
 )
 def corridor_arcs(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = materialize(lens.sparse_edges(spark, sf_dir), "sparse-edges")
-    m = materialize(corridor.membership(edges, _seeds(spark, sf_dir, "S1"), _seeds(spark, sf_dir, "S2"), 4), "members")
+    m = materialize(corridor.membership(edges, _seeds(spark, sf_dir, *_ODD), _seeds(spark, sf_dir, *_EVEN), 4), "members")
     return corridor.build_arcs(m, edges, "undirected", corridor.Limits())[0].select("source", "target", "kind", "relation_types", "relation_ids", "confidence")
 
 
 @query(
     f"""WITH {_MEMBERS}, arcs AS (SELECT DISTINCT p.a, p.b, y.dt FROM pairs p JOIN m x ON x.node = a JOIN m y ON y.node = b WHERE y.dt = x.dt - 1),
-l0 AS (SELECT node, false AS carry FROM m WHERE node = 'S1')
-""" + "".join(f", l{i + 1} AS (SELECT DISTINCT node, true AS carry FROM l{i} WHERE carry OR node = 'S2' UNION SELECT b, false FROM l{i} JOIN arcs ON a = node WHERE NOT carry AND node <> 'S2' AND dt + {i + 1} <= 4)\n" for i in range(4)) + """
+l0 AS (SELECT node, false AS carry FROM m WHERE node IN ({_LEFT}))
+""" + "".join(f", l{i + 1} AS (SELECT DISTINCT node, true AS carry FROM l{i} WHERE carry OR node IN ({_RIGHT}) UNION SELECT b, false FROM l{i} JOIN arcs ON a = node WHERE NOT carry AND node NOT IN ({_RIGHT}) AND dt + {i + 1} <= 4)\n" for i in range(4)) + """
 SELECT step, kind, count(*) AS states FROM (""" + " UNION ALL ".join(f"SELECT {i} AS step, CASE WHEN carry THEN 'carry' ELSE 'entity' END AS kind FROM l{i}" for i in range(5)) + ") GROUP BY ALL"
 )
 def time_expanded_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States before pruning; every one of them is on a complete walk, as arcs only lead nearer."""
     edges = materialize(lens.sparse_edges(spark, sf_dir), "sparse-edges")
-    a, b = _seeds(spark, sf_dir, "S1"), _seeds(spark, sf_dir, "S2")
+    a, b = _seeds(spark, sf_dir, *_ODD), _seeds(spark, sf_dir, *_EVEN)
     m = materialize(corridor.membership(edges, a, b, 4), "members")
     arcs = materialize(corridor.build_arcs(m, edges, "undirected", corridor.Limits(edges_per_node=10_000))[0], "arcs")
     nodes, _ = corridor.expand(a, b, m, arcs, 4, corridor.Limits())
@@ -486,7 +488,7 @@ def time_expanded_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def corridor_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = materialize(lens.sparse_edges(spark, sf_dir), "sparse-edges")
-    return corridor.build_corridor(edges, _seeds(spark, sf_dir, "S1"), _seeds(spark, sf_dir, "S2"), 4).edges
+    return corridor.build_corridor(edges, _seeds(spark, sf_dir, *_ODD), _seeds(spark, sf_dir, *_EVEN), 4).edges
 
 
 _SIDE = f"{lens.SPARSE_SQL}, {lens.walk_sql('d', chr(39) + 'S1' + chr(39), 2)}"
