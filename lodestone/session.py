@@ -36,8 +36,20 @@ def build_session(app: str = "lodestone", cpus: str | int = "*", shuffle_partiti
     return session
 
 
+def share_code(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the driver found it, if that place exists for them.
+
+    On a cluster without a shared installation, submit the package with ``--py-files``.
+    """
+    home, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([home, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data directory; the path may be any URI that Spark can read."""
+    share_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
