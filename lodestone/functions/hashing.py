@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestone.functions.text import alias_key
 
@@ -37,6 +41,30 @@ def canonical_qualifiers(qualifiers: Column) -> Column:
     return F.coalesce(F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}")), F.lit("{}"))
 
 
+def _tidy(value):
+    """Folded strings, without blanks and empties at any depth; keys and lists in order."""
+    if isinstance(value, str):
+        return " ".join(value.split()).casefold()
+    empty = (None, "", [], {})
+    if isinstance(value, dict):
+        made = {k: _tidy(v) for k, v in value.items()}
+        return {k: made[k] for k in sorted(made) if made[k] not in empty}
+    if isinstance(value, list):
+        return sorted((x for x in map(_tidy, value) if x not in empty), key=lambda x: json.dumps(x, sort_keys=True, ensure_ascii=False))
+    return value
+
+
+@F.pandas_udf(T.StringType())
+def nested_qualifiers(values: pd.Series) -> pd.Series:
+    """Canonical JSON of qualifiers given as a JSON object of any depth; null counts as empty."""
+
+    def one(text: str | None) -> str:
+        body = json.loads(text) if text else {}
+        return json.dumps(_tidy({k: v for k, v in body.items() if k not in EVIDENCE_QUALIFIERS}), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+    return values.map(one)
+
+
 def assertion_identity(subject: Column, relation: Column, object_: Column, qualifiers: Column, negated: Column, speculative: Column) -> Column:
     """SHA-256 of the compact JSON of a fact with sorted keys; ``qualifiers`` is canonical JSON."""
     flag = lambda c: F.when(c, "true").otherwise("false")

@@ -60,6 +60,18 @@ def test_facts(spark):
     assert gold.support(gold.aggregate_facts(ided).drop("support_count"), links).agg(F.sum("support_count")).first()[0] == 3
 
 
+def test_joins_of_mentions_and_projections(spark):
+    raw = spark.createDataFrame([(1, "m1", "m2"), (2, "m1", "m9")], "raw_id long, subject_mention string, object_mention string")
+    res = spark.createDataFrame([("m1", "E1"), ("m2", "E2")], "mention_id string, entity_id string")
+    assert [(r.raw_id, r.subject_entity, r.object_entity) for r in gold.resolve_assertions(raw, res).collect()] == [(1, "E1", "E2")]
+    facts = spark.createDataFrame([("f1", "E1", "E2"), ("f2", "E1", "E7")], "identity string, subject_entity string, object_entity string")
+    names = spark.createDataFrame([("E1", "one"), ("E2", "two")], "entity_id string, name string")
+    links = spark.createDataFrame([("f1", 1), ("f1", 2), ("f2", 3)], "identity string, raw_id long")
+    assert [(r.identity, r.object_entity_name, r.evidence_count) for r in export.projected_edges(facts, names, links).collect()] == [("f1", "two", 2)]
+    seen = spark.createDataFrame([("d", "same", 1, 0), ("d", "same", 0, 3), ("d", "other", 0, 1)], "document_id string, assertion string, chunk_index int, position int")
+    assert sorted((r.assertion, r.chunk_index, r.position) for r in chunks.distinct_assertions(seen).collect()) == [("other", 0, 1), ("same", 0, 3)]
+
+
 def test_graph_statistics(spark):
     edges = spark.createDataFrame([("t2d", "metformin", "treats"), ("t2d", "obesity", "associated_with"), ("isolated-a", "isolated-b", "OTHER")], "source string, target string, relation string")
     docs = spark.createDataFrame([("t2d", "doc-1"), ("t2d", "doc-2"), ("metformin", "doc-1")], "entity_id string, document_id string")

@@ -62,6 +62,12 @@ def test_identifiers(spark):
     assert got == [(canon, hashlib.sha256(whole.encode()).hexdigest())]
 
 
+def test_nested_qualifiers(spark):
+    rows = [('{"b": " X  y", "a": {"z": [3, "B", "a ", "", null], "e": {}}, "study_type": "rct", "t": true}',), (None,), ("{}",)]
+    got = one(spark, "q string", rows, hashing.nested_qualifiers(F.col("q")))
+    assert [g[0] for g in got] == ['{"a":{"z":["a","b",3]},"b":"x y","t":true}', "{}", "{}"]
+
+
 def test_relation_phrases(spark):
     phrases = {
         "was independently associated with an increased risk of": ("increases_risk_of", 0.94),
