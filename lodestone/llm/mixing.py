@@ -3,8 +3,9 @@
 Each source has a weight schedule over training time 0..1, piecewise linear.  Its integral is the
 source's share of the word budget; a target above ``max_repeats`` times the source's size is cut there
 and the excess is shared by weight among the others (water filling, solved over the sources' totals).
-A document starts at the cumulative word offset that a seeded hash order gives it inside its source;
-inverting the cumulative demand at that offset yields its training position.
+A document starts at the cumulative word offset that a seeded hash order gives it inside its source,
+and again one source size later in every further pass over the source; inverting the cumulative demand
+at each of these offsets yields the training positions of its copies.
 
 Prefix sums run in two levels, so no source is ever ordered in one task: a source is dealt into hash
 buckets of about ``bucket_rows`` rows, buckets are summed, and rows are ordered within their bucket.
@@ -86,10 +87,11 @@ def mix(
     bucket_rows: int = 2_000,
     keys: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``id, size, source_size, target, taken, copies, position`` per row, plus the columns ``keys``.
+    """``id, size, source_size, target, taken, copies, position, passes`` per row, plus the columns ``keys``.
 
-    ``copies`` is ``taken`` in whole documents, rounded half up; ``position`` is the training time of
-    the first copy, null where nothing is taken.
+    ``copies`` is ``taken`` in whole documents, rounded half up.  ``passes`` holds ``(pass, words,
+    position)`` of every pass that takes words of the document; the words add up to ``taken``.
+    ``position`` is the training time of the first copy, null where nothing is taken.
     """
     thin = docs.select(
         F.col(id_col).alias("id"),
@@ -118,11 +120,19 @@ def mix(
         taken = taken + x
     out = thin.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(placed, ["source_key", "bucket"])
     out = out.withColumn("taken", taken.cast("long"))
-    position = F.when(F.col("taken") > 0, invert(start / F.col("target"), F.col("weight"), F.col("pieces")))
+    at = lambda e: invert((start + F.lit(e) * F.col("source_size")) / F.col("target"), F.col("weight"), F.col("pieces"))
+    dealt_out = F.array(*[F.struct(F.lit(e).alias("pass"), x.cast("long").alias("words"), F.when(x > 0, at(e)).alias("position")) for e, x in enumerate(each)])
+    out = out.withColumn("passes", F.filter(dealt_out, lambda p: p["words"] > 0))
     copies = F.when(F.col("taken") > 0, F.floor(F.col("taken") / F.col("size") + F.lit(0.5))).otherwise(F.lit(0)).cast("int")
-    return out.select("id", "size", "source_size", "target", "taken", copies.alias("copies"), position.alias("position"), *[F.col(f"key_{k}").alias(k) for k in keys])
+    return out.select("id", "size", "source_size", "target", "taken", copies.alias("copies"), F.get("passes", F.lit(0))["position"].alias("position"), "passes", *[F.col(f"key_{k}").alias(k) for k in keys])
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
-    """Range-sorts the rows by training position; rows that are not taken come last."""
-    return mixed.orderBy(F.col("position").asc_nulls_last(), "id")
+    """One row per pass of a document, range-sorted by the training position of that pass.
+
+    ``pass`` and ``words`` say which pass it is and what it takes; rows that are not taken come last,
+    with pass null.
+    """
+    each = mixed.withColumn("x", F.explode_outer("passes")).drop("passes", "position")
+    each = each.withColumns({"pass": F.col("x.pass"), "words": F.coalesce("x.words", F.lit(0).cast("long")), "position": F.col("x.position")}).drop("x")
+    return each.orderBy(F.col("position").asc_nulls_last(), "id", "pass")

@@ -85,3 +85,21 @@ def test_order_and_edges(spark):
     assert {(r.size, r.target, r.taken) for r in mixing.mix(blank).collect()} == {(0, 0.0, 0)}
     repeated = df.union(df).filter(F.col("doc_id") < 9)
     assert mixing.mix(repeated).count() == 18
+
+
+def test_every_pass_has_its_position(spark):
+    """Sources taken more than once follow their schedule to the end, words of later passes included."""
+    data = [(i, "w w w", "ab"[i % 2]) for i in range(2000)]
+    rows_ = mixing.training_order(mixing.mix(spark.createDataFrame(data, SCHEMA))).collect()
+    taken = {r.id: r.taken for r in rows_}
+    assert sum(r.words for r in rows_) == sum(taken.values()) == 9000
+    assert len(rows_) == 3000 and all((r.position is None) == (r.words == 0) for r in rows_)
+    order = [r.position for r in rows_]
+    assert order == sorted(order)
+    for source, knots in (("a", mixing.RAMPS[0]), ("b", mixing.RAMPS[1])):
+        mine = [r for r in rows_ if "ab"[r.id % 2] == source]
+        (t0, f0), (t1, f1) = knots
+        for t in (0.2, 0.5, 0.8, 0.95):
+            area = f0 * t + (f1 - f0) / (t1 - t0) * t * t / 2
+            assert sum(r.words for r in mine if r.position < t) / mine[0].target == pytest.approx(area, abs=0.01)
+    assert {r["pass"] for r in rows_ if r.id % 2 == 0} == {0, 1}
