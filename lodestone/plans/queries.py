@@ -356,7 +356,7 @@ FROM t, single, comp, reuse"""
 )
 def graph_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = materialize(lens.sparse_edges(spark, sf_dir), "sparse-edges")
-    docs = table(spark, sf_dir, "lineitem").filter("l_quantity >= 50").select(F.concat(F.lit("P"), "l_partkey").alias("entity_id"), F.col("l_orderkey").alias("document_id"))
+    docs = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("P"), "l_partkey").alias("entity_id"), F.col("l_orderkey").alias("document_id"))
     totals = docs.agg(F.count("*").alias("mentions"), F.count("*").alias("evidence")).crossJoin(quality.degrees(edges).agg(F.count("*").alias("entities")))
     return quality.graph_quality(edges, docs, totals)
 
@@ -488,7 +488,8 @@ def time_expanded_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def corridor_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = materialize(lens.sparse_edges(spark, sf_dir), "sparse-edges")
-    return corridor.build_corridor(edges, _seeds(spark, sf_dir, *_ODD), _seeds(spark, sf_dir, *_EVEN), 4).edges
+    whole = corridor.Limits(unique_entities=1_000_000, occurrences=10_000_000, entities_per_layer=1_000_000, edges=10_000_000, overflow="fail")
+    return corridor.build_corridor(edges, _seeds(spark, sf_dir, *_ODD), _seeds(spark, sf_dir, *_EVEN), 4, limits=whole).edges
 
 
 _SIDE = f"{lens.SPARSE_SQL}, {lens.walk_sql('d', chr(39) + 'S1' + chr(39), 2)}"
