@@ -77,3 +77,12 @@ def test_corridor_network_cuts_nothing(spark, data):
     built = corridor.build_corridor(lens.sparse_edges(spark, data), queries._seeds(spark, data, *queries._ODD), queries._seeds(spark, data, *queries._EVEN), 4, limits=wide)
     assert not any(v for k, v in built.stats.items() if k.endswith("_pruned"))
     assert sorted(map(tuple, QUERIES["corridor_network"](spark, data).collect())) == sorted(map(tuple, built.edges.collect()))
+
+
+def test_every_conversation_is_stacked(spark, data):
+    got = {r.conv_id: r.stacked for r in QUERIES["stack_sections"](spark, data).collect()}
+    want = {}
+    for c in range(7):
+        parts = [f"[WORK {t}]\nTitle: {('user', 'assistant')[t % 2]}\nDOI: \ntext {c} {t}\n[/WORK {t}]" for t in range(c % 3 + 1)]
+        want[c] = hashlib.sha256("\n\n".join(parts).encode()).hexdigest()
+    assert got == want
