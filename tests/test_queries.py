@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__
@@ -23,7 +24,7 @@ def duck():
 
 
 def cell(v):
-    if v is None or v != v:
+    if v is None or (pd.api.types.is_scalar(v) and pd.isna(v)):
         return "null"
     return repr(round(float(v), 6)) if isinstance(v, float) else str(v)
 
