@@ -1,15 +1,19 @@
 """WARC archives in Zstandard: one frame per record behind a dictionary in a leading skippable frame.
 
 Writer: every task writes its own archives below a shared folder, under names that no other attempt
-uses, and reports them in a manifest; only archives of successful tasks are ever read.  Reader: loads
-the dictionary, decodes one frame at a time in bounded memory, and checks each record's version, field
-syntax, mandatory fields, lengths and digests.  A damaged archive yields its sound records and then
-one row whose ``error`` says what failed at which offset.
+uses, and reports them in a manifest; only archives of successful tasks are ever read.  All archives
+carry one dictionary, trained once on a bounded sample of the pages.  Reader: loads the dictionary,
+decodes one frame at a time, and checks each record's version, field syntax, mandatory fields, lengths
+and digests.  A damaged archive yields its sound records and then one row whose ``error`` says what
+failed at which offset.  Memory on both sides is that of one record and a batch, whatever an archive
+holds; a record itself is held whole, since its digest and length are checked before it is returned.
 
 Pages: of equal payloads of at least ``min_bytes`` bytes the one with the smallest page id becomes a
 response record and the others revisit it; smaller payloads are all responses.  A null html is the
-empty payload.  Rows that repeat both id and payload count as that one page, so all of them get its
-type.  A null id sorts after all others.
+empty payload, a null url becomes ``urn:page:``.  Rows that repeat both id and payload count as that
+one page, so all of them get its type.  A null id sorts after all others and is no equal of any string.
+Ids may be of any type that casts to and from a string.  An empty table gives no archive and no row.
+Other columns of the pages are not archived, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.llm.skew import salted_join
 from lodestone.session import materialize, scratch_path
 
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -150,25 +155,32 @@ def iter_records(stream) -> Iterator[Record]:
         offset += used - len(held)
 
 
+def train_dictionary(samples: list[bytes], size: int = 1 << 14) -> bytes:
+    """A dictionary of at most ``size`` bytes; of too few samples to train on, their own last bytes."""
+    import zstandard
+
+    try:
+        return zstandard.train_dictionary(size, samples, k=256, d=8).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(samples)[-size:]
+
+
 class ArchiveWriter:
-    """Writes records into one archive; the dictionary is trained on the first of them."""
+    """Writes records into one archive, behind ``dictionary`` or one trained on the first records."""
 
-    def __init__(self, out, sample_bytes: int = 1 << 21, dictionary_bytes: int = 1 << 14):
+    def __init__(self, out, dictionary: bytes | None = None, sample_bytes: int = 1 << 21, dictionary_bytes: int = 1 << 14):
         self.out, self.sample_bytes, self.dictionary_bytes = out, sample_bytes, dictionary_bytes
         self.early: list[bytes] = []
         self.early_bytes = self.written = self.records = 0
         self.coder = None
+        if dictionary is not None:
+            self._begin(dictionary)
 
-    def _begin(self) -> None:
+    def _begin(self, body: bytes) -> None:
         import zstandard
 
-        try:
-            dictionary = zstandard.train_dictionary(self.dictionary_bytes, self.early, k=256, d=8)
-        except (zstandard.ZstdError, ValueError):  # too few records to train on: their own bytes serve
-            dictionary = zstandard.ZstdCompressionDict(b"".join(self.early)[-self.dictionary_bytes :], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        body = dictionary.as_bytes()
         self._put(DICTIONARY_MAGIC.to_bytes(4, "little") + len(body).to_bytes(4, "little") + body)
-        self.coder = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_checksum=True)
+        self.coder = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(body), write_checksum=True)
         for data in self.early:
             self._put(self.coder.compress(data))
         self.early = []
@@ -183,22 +195,30 @@ class ArchiveWriter:
             self.early.append(data)
             self.early_bytes += len(data)
             if self.early_bytes >= self.sample_bytes:
-                self._begin()
+                self._begin(train_dictionary(self.early, self.dictionary_bytes))
         else:
             self._put(self.coder.compress(data))
 
     def close(self) -> None:
         if self.coder is None:
-            self._begin()
+            self._begin(train_dictionary(self.early, self.dictionary_bytes))
         self.out.close()
 
 
 def _record_id(page_id) -> str:
-    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(f'page {page_id}'.encode()).digest())}>"
+    name = "page" if page_id is None else f"page {page_id}"
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(name.encode()).digest())}>"
+
+
+def _spelled(page_id) -> str:
+    """An id as a header value; the reader undoes the quoting."""
+    from urllib.parse import quote
+
+    return "" if page_id is None else quote(str(page_id), safe="")
 
 
 def page_record(page_id, url: str | None, payload: bytes, refers_to, is_revisit: bool, date: str) -> bytes:
-    uri = "".join(c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url) if url else f"urn:page:{page_id}"
+    uri = "".join(c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url) if url else f"urn:page:{_spelled(page_id)}"
     fields = {
         "WARC-Type": "revisit" if is_revisit else "response",
         "WARC-Record-ID": _record_id(page_id),
@@ -209,23 +229,39 @@ def page_record(page_id, url: str | None, payload: bytes, refers_to, is_revisit:
         "X-Payload-Length": str(len(payload)),
     }
     if page_id is not None:
-        fields["X-Page-ID"] = str(page_id)
+        fields["X-Page-ID"] = _spelled(page_id)
     if is_revisit:
-        fields |= {"WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": _record_id(refers_to), "X-Refers-To-Page-ID": str(refers_to)}
+        fields |= {"WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": _record_id(refers_to), "X-Refers-To-Page-ID": _spelled(refers_to)}
     return build_record(fields, _HTTP % len(payload) + (b"" if is_revisit else payload))
 
 
-def decide_revisits(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """``(page_key, payload_sha1, refers_to)`` of the pages that revisit another."""
+def digests(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """``(page, payload_sha1, n)`` of every row."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    thin = pages.select(F.col(id_col).alias("page"), F.sha1(payload).alias("payload_sha1"), F.octet_length(payload).alias("n")).filter(F.col("n") >= min_bytes)
-    thin = thin.groupBy("page", "payload_sha1").agg(F.count("*").alias("rows"))
-    least = thin.groupBy("payload_sha1").agg(F.min("page").alias("refers_to"), F.count("*").alias("pages")).filter("pages > 1")
-    return thin.join(least, "payload_sha1").filter(~F.col("page").eqNullSafe(F.col("refers_to"))).select(_key("page").alias("page_key"), "payload_sha1", "refers_to")
+    return pages.select(F.col(id_col).alias("page"), F.sha1(payload).alias("payload_sha1"), F.octet_length(payload).alias("n"))
+
+
+def decide_revisits(thin: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """``(page_key, payload_sha1, refers_to)`` of the pages that revisit another, out of ``digests``."""
+    known = thin.filter(F.col("n") >= min_bytes).groupBy("page", "payload_sha1").agg(F.count("*").alias("rows"))
+    least = known.groupBy("payload_sha1").agg(F.min("page").alias("refers_to"), F.count("*").alias("pages")).filter("pages > 1").drop("pages")
+    # One payload may hold a third of all pages.
+    met = salted_join(known, least, ["payload_sha1"], F.xxhash64("page"))
+    return met.filter(~F.col("page").eqNullSafe(F.col("refers_to"))).select(_key("page").alias("page_key"), "payload_sha1", "refers_to")
 
 
 def _key(column: str):
-    return F.coalesce(F.col(column).cast("string"), F.lit("-"))
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("-"))
+
+
+def sample_records(pages: DataFrame, date: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rows: int = 256, most: int = 1 << 13) -> list[bytes]:
+    """Records of ``rows`` pages drawn by hash, each payload cut to ``most`` bytes: what the dictionary is trained on.
+
+    It bounds what reaches the driver (2 MB) and changes no result; records are archived whole.
+    """
+    body = F.substring(F.coalesce(F.col(html_col), F.lit("")).cast("binary"), 1, most)
+    drawn = pages.select(F.xxhash64(id_col, F.substring(url_col, 1, 200)).alias("h"), F.col(id_col).alias("page"), F.substring(url_col, 1, 200).alias("url"), body.alias("body"))
+    return [page_record(r.page, r.url, bytes(r.body), None, False, date) for r in drawn.orderBy("h", "page", "url", "body").limit(rows).collect()]
 
 
 def write_pages(
@@ -240,9 +276,12 @@ def write_pages(
 ) -> DataFrame:
     """Writes the archives and returns their manifest ``(path, records, bytes)``, itself a table."""
     folder = folder or scratch_path(pages.sparkSession, "warc")
+    dictionary = train_dictionary(sample_records(pages, date, id_col, url_col, html_col))
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"), payload.alias("payload"), _key(id_col).alias("page_key"), F.sha1(payload).alias("payload_sha1"))
-    rows = rows.join(decide_revisits(pages, id_col, html_col, min_bytes).withColumn("again", F.lit(True)), ["page_key", "payload_sha1"], "left")
+    # Pages are the wide side, so the decisions are hashed and no page is sorted.  Rows that repeat a page
+    # are dealt by the task that scans them.
+    rows = salted_join(rows, decide_revisits(digests(pages, id_col, html_col), min_bytes).withColumn("again", F.lit(True)), ["page_key", "payload_sha1"], F.spark_partition_id(), "left", 8, "shuffle_hash")
     rows = rows.select("page", "url", "payload", "refers_to", F.coalesce("again", F.lit(False)).alias("again"))
 
     def run(batches):
@@ -257,7 +296,7 @@ def write_pages(
                 if writer is None:
                     store.create_dir(own, recursive=True)
                     path = f"{own}/part-{len(done):05d}.warc.zst"
-                    writer = ArchiveWriter(store.open_output_stream(path))
+                    writer = ArchiveWriter(store.open_output_stream(path, compression=None), dictionary)
                     writer.add(build_record({"WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": date, "Content-Type": "application/warc-fields"}, b"format: WARC file version 1.1\r\n"))
                 writer.add(page_record(page.as_py(), url.as_py(), body.as_py(), refers.as_py(), again.as_py(), date))
                 if writer.written >= archive_bytes:
@@ -315,7 +354,7 @@ def read_manifest(manifest: DataFrame, with_payload: bool = True, tasks: int | N
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 store, name = fs.FileSystem.from_uri(path)
-                with store.open_input_stream(name) as stream:
+                with store.open_input_stream(name, compression=None) as stream:
                     yield from _batches(_rows(path, stream, with_payload))
 
     spread = manifest.select("path").repartition(tasks or manifest.sparkSession.sparkContext.defaultParallelism * 2, "path")
@@ -323,32 +362,47 @@ def read_manifest(manifest: DataFrame, with_payload: bool = True, tasks: int | N
 
 
 def read_warc(spark, paths, with_payload: bool = True) -> DataFrame:
-    """Records of archives that Spark itself can read; any Hadoop path or glob."""
+    """Records of archives below any Hadoop path or glob, streamed by the tasks.
+
+    Spark lists the files; a file system that only Spark can open has its archives loaded whole, up to the
+    2 GB of a binary column.
+    """
+    import re
+
+    files = spark.read.format("binaryFile").load(paths)
+    first = files.select("path").first()
+    if first is None:
+        return spark.createDataFrame([], RECORD_SCHEMA)
+    if re.match(r"(file|hdfs|s3a?|gs|abfss?):", first.path):
+        named = F.regexp_replace(F.regexp_replace("path", "^file:/+", "file:///"), "^s3a:", "s3:")
+        return read_manifest(files.select(named.alias("path")), with_payload)
 
     def run(batches):
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
                 yield from _batches(_rows(path.as_py(), io.BytesIO(content.as_py()), with_payload))
 
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(run, RECORD_SCHEMA)
+    return files.select("path", "content").mapInArrow(run, RECORD_SCHEMA)
 
 
-def page_records(records: DataFrame) -> DataFrame:
-    """One row per page record, as read back."""
+def page_records(records: DataFrame, id_type: str = "bigint") -> DataFrame:
+    """One row per page record, as read back; ids are cast to ``id_type``."""
     f = F.col("fields")
+    id_of = lambda name: F.url_decode(f[name]).cast(id_type)
     fault = F.raise_error(F.concat(F.lit("damaged archive "), F.col("path"), F.lit(": "), F.col("error")))
     return records.filter(F.col("error").isNotNull() | F.col("record_type").isin("response", "revisit")).select(
-        F.when(F.col("error").isNotNull(), fault.cast("long")).otherwise(f["X-Page-ID"].cast("long")).alias("page_id"),
+        F.when(F.col("error").isNotNull(), fault.cast(id_type)).otherwise(id_of("X-Page-ID")).alias("page_id"),
         "payload_bytes",
         "payload_digest",
         "record_type",
-        f["X-Refers-To-Page-ID"].cast("long").alias("refers_to"),
+        id_of("X-Refers-To-Page-ID").alias("refers_to"),
     )
 
 
 def archive_round_trip(pages: DataFrame, **writing) -> DataFrame:
     """Writes a record per page and returns what the archives say of each page."""
-    return page_records(read_manifest(write_pages(pages, **writing), with_payload=False))
+    id_type = pages.schema[writing.get("id_col", "page_id")].dataType.simpleString()
+    return page_records(read_manifest(write_pages(pages, **writing), with_payload=False), id_type)
 
 
 _NIBBLES = "['" + "', '".join(f"{i:04b}" for i in range(16)) + "']"

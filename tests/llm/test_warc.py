@@ -106,3 +106,35 @@ def test_spark_reads_archives_by_path(spark, tmp_path):
     (tmp_path / "b.warc.zst").write_bytes(archive(payloads())[:-3])
     out = warc.read_warc(spark, str(tmp_path)).collect()
     assert sum(r.error is None for r in out) == 119 and sum(r.error is not None for r in out) == 1
+
+
+def test_written_archives_are_plain(spark, tmp_path):
+    """The files hold the frames themselves: a dictionary frame first, then records that any reader can walk."""
+    rows = [(i, f"http://h/{i}", f"page {i} " * 20) for i in range(40)]
+    manifest = warc.write_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), folder=f"file://{tmp_path}/out").collect()
+    seen = []
+    for m in manifest:
+        with open(m.path.removeprefix("file://"), "rb") as f:
+            data = f.read()
+        assert len(data) == m.bytes and int.from_bytes(data[:4], "little") == warc.DICTIONARY_MAGIC
+        records = list(warc.iter_records(io.BytesIO(data)))
+        assert len(records) == m.records
+        seen += [r.payload.decode() for r in records[1:]]
+    assert sorted(seen) == sorted(h for _, _, h in rows)
+    assert sum(r.error is None for r in warc.read_warc(spark, f"file://{tmp_path}/out/*").collect()) == 40 + len(manifest)
+
+
+def test_ids_of_any_type(spark):
+    rows = [("b", "u", "same"), ("-", "u", "same"), (None, "u", "same"), ("a+b %/é", "u", "own"), ("=", None, None)]
+    out = {r.page_id: r for r in warc.archive_round_trip(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    assert set(out) == {r[0] for r in rows}
+    assert out["-"].record_type == "response"
+    assert {k for k, r in out.items() if r.refers_to == "-"} == {"b", None}
+    assert out["a+b %/é"].record_type == "response" and out["="].payload_bytes == 0
+
+
+def test_one_payload_and_one_page_may_be_hot(spark):
+    """A third of all rows share a payload, a third are one page; salts keep them whole."""
+    rows = [(i, "u", "hot") for i in range(300)] + [(7000, "v", "page")] * 300 + [(8000 + i, "w", f"own {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+    assert sorted((tuple(r) for r in warc.archive_round_trip(df).collect()), key=str) == expected(rows)
