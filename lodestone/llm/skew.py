@@ -12,7 +12,8 @@ def salted_join(wide: DataFrame, thin: DataFrame, keys: list[str], salt: Column,
     """``wide`` joined to ``thin`` on ``keys``, where ``thin`` has at most one row per key.
 
     Rows of ``wide`` that share a key are dealt over ``salts`` tasks by the integer column ``salt``; every
-    row of ``thin`` is repeated once per salt, so the cost is ``salts`` times the smaller side.
+    row of ``thin`` is repeated once per salt, so the cost is ``salts`` times the smaller side.  Whether the
+    repeated side is broadcast is left to Spark's size check.
     """
     dealt = wide.withColumn(_SALT, F.pmod(salt, F.lit(salts)).cast("int"))
     repeated = thin.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
