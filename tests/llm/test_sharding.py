@@ -1,5 +1,6 @@
 import random
 import zlib
+from types import SimpleNamespace
 
 from lodestone.llm import sharding
 
@@ -12,8 +13,8 @@ def frame(spark, n=500):
 
 
 def check(out, docs, shards):
-    want = sorted((d.doc_id, len((d.text or "").encode()) + 8, zlib.crc32((d.text or "").encode())) for d in docs)
-    assert sorted((r.id, r.size, r.text_crc32) for r in out) == want
+    want = sorted(((d.doc_id, len((d.text or "").encode()) + 8, zlib.crc32((d.text or "").encode())) for d in docs), key=str)
+    assert sorted(((r.id, r.size, r.text_crc32) for r in out), key=str) == want
     slots = {s: sorted(r.slot for r in out if r.shard == s) for s in range(shards)}
     assert all(v == list(range(len(v))) for v in slots.values())
     sizes = [len(v) for v in slots.values()]
@@ -57,3 +58,55 @@ def test_written_shards_hold_whole_records(spark, tmp_path):
     assert sorted(((r.doc_id, r.text) for r in back), key=str) == sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
     for s in range(5):
         assert sorted(r.slot for r in back if r.shard == s) == list(range(40))
+
+
+def test_one_hot_record_is_spread_over_the_buckets(spark):
+    """A third of all rows are one record, a third have no id: no bucket grows beyond its share."""
+    rows = [(7, "copy", "x")] * 400 + [(None, f"text {i % 300}", "x") for i in range(400)] + [(1000 + i, f"own {i}", "x") for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    out = sharding.shard(df, shards=6, bucket_rows=60).collect()
+    assert sum(r.id == 7 for r in out) == 400 and len(out) == 1200
+    check(out, [SimpleNamespace(doc_id=i, text=t) for i, t, _ in rows], 6)
+    held = [r for r in out if r.id == 7]
+    assert max(sum(r.shard == s for r in held) for s in range(6)) < 130  # 67 each, if spread evenly
+    placed, _ = sharding.shuffled_positions(df, bucket_rows=60)
+    plan = placed._jdf.queryExecution().toString()
+    assert "__shard_hot" in plan
+    assert sorted((r.id for r in sharding.shard(df, shards=6, bucket_rows=60, few=0).collect() if r.id), key=str) == sorted((r[0] for r in rows if r[0]), key=str)
+
+
+def test_scatter_and_shuffle_by_hand(spark, tmp_path):
+    """Buckets are the seeded hash of a record; each is a permutation of its records and they lie end to end."""
+    df = frame(spark, 300)
+    placed, n = sharding.shuffled_positions(df, bucket_rows=50)
+    at = {r.doc_id: r["__shard_at"] for r in placed.collect()}
+    assert n == 300 and sorted(at.values()) == list(range(300))
+    hashed = df.selectExpr("doc_id", "xxhash64(7, doc_id, cast(octet_length(coalesce(text, '')) + 8 as bigint), crc32(cast(coalesce(text, '') as binary))) as h").collect()
+    buckets = {}
+    for r in hashed:
+        buckets.setdefault(r.h % 6, []).append((r.h, r.doc_id))
+    begin = 0
+    for b in sorted(buckets):
+        held = [i for _, i in sorted(buckets[b])]
+        got = sorted(held, key=at.get)
+        assert sorted(at[i] for i in held) == list(range(begin, begin + len(held)))
+        assert got != held
+        begin += len(held)
+
+
+def test_all_input_columns_are_written(spark, tmp_path):
+    names = ["h", "id", "position", "rows", "bucket", "size", "offset", "held"]
+    df = frame(spark, 60).selectExpr("doc_id", "text", *[f"'{c}' as {c}" for c in names], "map('a', 1) as tags", "'mine' as shard", "'mine' as slot")
+    out = sharding.write_shards(df, str(tmp_path / "out"), shards=3, bucket_rows=20)
+    assert out.columns == ["doc_id", "text", *names, "tags", "shard", "slot"]
+    rows = out.collect()
+    assert len(rows) == 60 and all(r[c] == c for r in rows for c in names) and {r.shard for r in rows} == {0, 1, 2}
+    assert sorted((r.doc_id, r.text) for r in rows if r.text) == sorted((r.doc_id, r.text) for r in df.collect() if r.text)
+
+
+def test_a_table_of_files_is_not_copied_first(spark, tmp_path):
+    frame(spark, 100).write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    placed, _ = sharding.shuffled_positions(df, bucket_rows=30)
+    assert "shard-records" not in placed._jdf.queryExecution().toString()
+    check(sharding.shard(df, shards=4, bucket_rows=30).collect(), df.collect(), 4)
