@@ -1,13 +1,16 @@
 """Byte-level BPE: encoding with contiguous rank arrays, and decoding.
 
 A text is cut at white space into chunks, a chunk into pieces by the vocabulary's pattern, and each
-piece is merged on its own.  For a short piece two arrays are held, the start of every part and the
-rank of the merge with its right neighbour; the least rank is found by a scan, its boundary deleted
-and the two neighbouring ranks refreshed.  The scan is quadratic, so pieces above ``SHORT`` bytes use
-a heap over linked parts, which applies the same merges in the same order.
-
-Chunks and pieces are memoised in bounded tables.  Special tokens in a text become their own ids.
-Null texts count as empty: no tokens.
+piece is merged on its own.  For a short piece two arrays are held, the boundaries of its parts and the
+rank of each part's merge with its right neighbour; the least rank is found by a scan, its boundary
+deleted and the two neighbouring ranks refreshed from the bytes between boundaries.  The scan is
+quadratic, so pieces above ``SHORT`` bytes use a heap over linked parts, which applies the same merges
+in the same order.
+
+Chunks and pieces are memoised in bounded tables.  Special tokens in a text become their own ids; the
+leftmost wins, and of those that begin together the longest.  Null texts count as empty: no tokens.
+Rows that repeat are encoded like any other, very long texts whole, in memory of the order of the text;
+an empty table gives an empty result.  All other columns stay; those named like a new column give way.
 """
 
 from __future__ import annotations
@@ -51,15 +54,22 @@ class Vocabulary:
         self.byte_ids = [ids[c] for c in letters]
         self.ranks: dict[int, int] = {}
         self.merged: list[int] = []
+        #: Rank of the merge of two parts, by their bytes.
+        self.joins: dict[tuple[bytes, bytes], int] = {}
+        spelled = lambda token: bytes(to_byte[c] for c in token)
         for pair in spec["model"]["merges"]:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks.setdefault(ids[a] << 32 | ids[b], len(self.merged))
+            self.joins.setdefault((spelled(a), spelled(b)), len(self.merged))
             self.merged.append(ids[a + b])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*ids.values(), *self.special.values()]) + 1
         self.bytes_of = [b""] * size
+        self.id_of: dict[bytes, int] = {}
         for token, i in ids.items():
-            self.bytes_of[i] = bytes(to_byte[c] for c in token)
+            if all(c in to_byte for c in token):
+                self.bytes_of[i] = spelled(token)
+                self.id_of[self.bytes_of[i]] = i
         for token, i in self.special.items():
             self.bytes_of[i] = token.encode()
         names = sorted(self.special, key=len, reverse=True)
@@ -67,19 +77,17 @@ class Vocabulary:
         self.pieces = regex.compile(PATTERN).findall
 
     def merge_short(self, data: bytes) -> list[int]:
-        ids = [self.byte_ids[b] for b in data]
-        starts = list(range(len(ids)))
-        rank_of, merged = self.ranks.get, self.merged
-        ranks = [rank_of(a << 32 | b, _NEVER) for a, b in zip(ids, ids[1:])]
+        cuts = list(range(len(data) + 1))
+        rank_of, id_of = self.joins.get, self.id_of
+        ranks = [rank_of((data[i : i + 1], data[i + 1 : i + 2]), _NEVER) for i in range(len(data) - 1)]
         while ranks and (least := min(ranks)) < _NEVER:
             i = ranks.index(least)
-            ids[i] = merged[least]
-            del ids[i + 1], starts[i + 1], ranks[i]
+            del cuts[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = rank_of(ids[i] << 32 | ids[i + 1], _NEVER)
+                ranks[i] = rank_of((data[cuts[i] : cuts[i + 1]], data[cuts[i + 1] : cuts[i + 2]]), _NEVER)
             if i:
-                ranks[i - 1] = rank_of(ids[i - 1] << 32 | ids[i], _NEVER)
-        return ids
+                ranks[i - 1] = rank_of((data[cuts[i - 1] : cuts[i]], data[cuts[i] : cuts[i + 1]]), _NEVER)
+        return [id_of[data[a:b]] for a, b in zip(cuts, cuts[1:])]
 
     def merge_long(self, data: bytes) -> list[int]:
         ids = [self.byte_ids[b] for b in data]
@@ -140,7 +148,7 @@ class Encoder(dict):
         """The ids of a whole text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if self.vocabulary.split_special is None or "<" not in text:
+        if self.vocabulary.split_special is None or not self.vocabulary.split_special.search(text):
             return b"".join([self[c] for c in _CHUNK.findall(text)])
         special = self.vocabulary.special
         return b"".join(

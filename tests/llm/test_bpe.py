@@ -66,3 +66,24 @@ def test_vocabulary_size_is_checked(tmp_path):
     (tmp_path / "v.json").write_bytes(b"x" * 100)
     with pytest.raises(ValueError):
         bpe.read_vocabulary(str(tmp_path / "v.json"), max_bytes=99)
+
+
+def test_special_tokens_of_any_spelling(tmp_path):
+    import json
+
+    spec = json.loads(bpe.read_vocabulary(bpe.default_path()))
+    for i, name in enumerate(("[EOT]", "[EOT]x", "ünd")):
+        spec["added_tokens"].append({**spec["added_tokens"][0], "id": 50257 + i, "content": name})
+    (tmp_path / "v.json").write_text(json.dumps(spec))
+    encoder, library = bpe.Encoder(bpe.Vocabulary(bpe.read_vocabulary(str(tmp_path / "v.json")))), Tokenizer.from_file(str(tmp_path / "v.json"))
+    for text in ("a [EOT] b", "[EOT]x[EOT]", "rund ünd", "no special", "<|endoftext|>[EO", ""):
+        assert ids_of(encoder, text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_boundaries_follow_the_bytes(both):
+    """The parts of a short piece, end to end, are its bytes."""
+    vocabulary = both[0].vocabulary
+    rng = random.Random(6)
+    for _ in range(300):
+        data = bytes(rng.choice(b"abcdeing \xc3\xa9\xf0") for _ in range(rng.randint(1, 60)))
+        assert b"".join(vocabulary.bytes_of[i] for i in vocabulary.merge_short(data)) == data
