@@ -19,7 +19,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preference.format_pairs(preference.neighbours(table(spark, sf_dir, "conversations")))
+    return preference.spell_masks(preference.assemble(preference.format_pairs(preference.neighbours(table(spark, sf_dir, "conversations")))))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
