@@ -7,11 +7,17 @@ A document starts at the cumulative word offset that a seeded hash order gives i
 and again one source size later in every further pass over the source; inverting the cumulative demand
 at each of these offsets yields the training positions of its copies.
 
-Prefix sums run in two levels, so no source is ever ordered in one task: a source is dealt into hash
-buckets of about ``bucket_rows`` rows, buckets are summed, and rows are ordered within their bucket.
-
-A null source is a source of its own and sorts last.  A null text has size 0 and takes nothing.  A
-source without words has target 0.  Rows that repeat an id are separate rows of the mix.
+Prefix sums run in levels, so no source is ever ordered in one task: a source is dealt into hash
+buckets of about ``bucket_rows`` rows, as many as its own rows need, buckets are summed in blocks, and
+rows are ordered within their bucket.  Rows are dealt by id and text; large groups of equal ones by their
+place in the table, so no group of copies fills a bucket.  The targets of all sources are solved in one
+task, which holds a short row per source.
+
+A null source is a source of its own and sorts last.  A null text has size 0 and takes nothing; very
+long texts are counted whole.  A source without words has target 0.  Rows that repeat an id, or repeat
+as a whole, are separate rows of the mix; of equal rows at the end of a source's target any may be the
+one that is cut.  An empty table gives no row.  Other columns are returned only if they are named in
+``keys``, which must not be names of the result.
 """
 
 from __future__ import annotations
@@ -19,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.llm.skew import counted_join, prefix_sums, spread
 from lodestone.llm.words import word_count
 from lodestone.session import materialize
 
@@ -62,7 +69,7 @@ def targets(totals: DataFrame, budget: float, max_repeats: float, weights, ramps
         F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     )
     filled = ranked.withColumn("level", level).withColumn("level", F.max("level").over(whole))
-    return filled.withColumn("target", F.least("cap", F.col("level") * F.col("weight"))).select("source_key", "source_size", "target", "weight", "pieces")
+    return filled.withColumn("target", F.least("cap", F.col("level") * F.col("weight"))).select("source_key", "source_size", "source_rows", "target", "weight", "pieces")
 
 
 def invert(share: Column, weight: Column, pieces: Column) -> Column:
@@ -84,7 +91,7 @@ def mix(
     budget: float = 1.5,
     max_repeats: float = 2.0,
     seed: int = 2024,
-    bucket_rows: int = 2_000,
+    bucket_rows: int = 200,
     keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """``id, size, source_size, target, taken, copies, position, passes`` per row, plus the columns ``keys``.
@@ -98,18 +105,18 @@ def mix(
         F.col(source_col).alias("source"),
         F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("-")).alias("source_key"),
         word_count(F.col(text_col)).alias("size"),
-        F.xxhash64(F.col(id_col), F.lit(seed)).alias("h"),
+        F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed)).alias("h"),
         *[F.col(k).alias(f"key_{k}") for k in keys],
     )
     thin = materialize(thin, "mix-thin")
-    buckets = max(1, -(-thin.count() // bucket_rows))
-    thin = thin.withColumn("bucket", F.pmod(F.shiftright("h", 20), F.lit(buckets)))
-    dealt = thin.groupBy("source_key", "bucket").agg(F.sum("size").alias("bucket_size"), F.first("source").alias("source"))
-    dealt = materialize(dealt, "mix-buckets")
-    totals = dealt.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("bucket_size").alias("source_size"))
-    goals = targets(totals, budget, max_repeats, weights, ramps)
-    above = Window.partitionBy("source_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    placed = dealt.withColumn("offset", F.coalesce(F.sum("bucket_size").over(above), F.lit(0))).select("source_key", "bucket", "offset").join(goals, "source_key")
+    totals = thin.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
+    goals = materialize(targets(totals, budget, max_repeats, weights, ramps), "mix-goals")
+    # A part's number and a row's place in it stay the same in a rerun; the rest of the file's name does not.
+    place = F.xxhash64(F.substring_index("_metadata.file_name", "-", 2), "_metadata.row_index", F.lit(seed))
+    thin = counted_join(spread(thin, "h", place, bucket_rows), goals, ["source_key"], F.col("h"))
+    thin = thin.withColumn("bucket", F.pmod(F.shiftright("h", 20), F.ceil(F.col("source_rows") / bucket_rows)))
+    dealt = materialize(thin.groupBy("source_key", "bucket").agg(F.sum("size").alias("bucket_size")), "mix-buckets")
+    placed = prefix_sums(dealt, ["source_key"], "bucket", "bucket_size", "offset")
     inside = Window.partitionBy("source_key", "bucket").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("offset") + F.col("inner")
     passes = -(-int(max_repeats * 1000) // 1000)
@@ -127,6 +134,11 @@ def mix(
     return out.select("id", "size", "source_size", "target", "taken", copies.alias("copies"), F.get("passes", F.lit(0))["position"].alias("position"), "passes", *[F.col(f"key_{k}").alias(k) for k in keys])
 
 
+def range_sorted(mixed: DataFrame) -> DataFrame:
+    """One row per document, range-sorted by the training position of its first copy; rows that are not taken come last."""
+    return mixed.orderBy(F.col("position").asc_nulls_last(), "id")
+
+
 def training_order(mixed: DataFrame) -> DataFrame:
     """One row per pass of a document, range-sorted by the training position of that pass.
 

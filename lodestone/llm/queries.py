@@ -23,8 +23,9 @@ def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.training_order(mixing.mix(table(spark, sf_dir, "documents")))
-    return mixed.withColumnRenamed("id", "doc_id")
+    mixed = mixing.range_sorted(mixing.mix(table(spark, sf_dir, "documents")))
+    spelled = F.transform("passes", lambda p: F.concat_ws(":", p["pass"].cast("string"), p["words"].cast("string"), p["position"].cast("string")))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", "position", F.array_join(spelled, ",").alias("passes"))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,17 +19,16 @@ columns are kept, whatever their names; only ``shard`` and ``slot`` give way to
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.skew import salted_join
+from lodestone.llm.skew import FEW, FILE, ROW, placed, prefix_sums, salted_join
 from lodestone.session import materialize, scratch_path
 
 LAW = "rows"
 #: Bytes that a record takes besides its text.
 OVERHEAD = 8
 _H, _ROW, _HOT, _BUCKET, _HELD, _OFFSET, _AT = (f"__shard_{x}" for x in ("h", "row", "hot", "bucket", "held", "offset", "at"))
-_BLOCK = 1000
 
 
 def body_of(text_col: str) -> Column:
@@ -40,29 +39,13 @@ def size_of(text_col: str) -> Column:
     return (F.octet_length(body_of(text_col)) + OVERHEAD).cast("long")
 
 
-def offsets(counts: DataFrame) -> DataFrame:
-    """Where each bucket begins, from ``(bucket, n)``: prefix sums inside blocks of buckets, then over the blocks."""
-    counts = counts.withColumn("block", F.expr(f"{_BUCKET} div {_BLOCK}"))
-    inside = Window.partitionBy("block").orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = counts.groupBy("block").agg(F.sum("n").alias("n")).select("block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    placed = counts.withColumn("inner", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(blocks, "block")
-    return placed.select(_BUCKET, (F.col("start") + F.col("inner")).alias(_OFFSET))
-
-
-def is_scan(df: DataFrame) -> bool:
-    """Whether rows still know their place in the files that they come from."""
-    return "_metadata#" in df._jdf.queryExecution().analyzed().metadataOutput().mkString(",")
-
-
-def shuffled_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 7, bucket_rows: int = 50_000, bucket_bytes: int = 1 << 24, most_tasks: int = 20_000, few: int = 10_000) -> tuple[DataFrame, int]:
+def shuffled_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 7, bucket_rows: int = 50_000, bucket_bytes: int = 1 << 24, most_tasks: int = 20_000, few: int = FEW) -> tuple[DataFrame, int]:
     """All columns of ``docs`` with the record's global position in ``__shard_at``, and the row count.
 
     One task works through its buckets in order, so more than ``most_tasks`` buckets need no more tasks.
     """
     names = docs.columns
-    place = F.xxhash64("_metadata.file_name", "_metadata.row_index", F.lit(seed)).alias(_ROW)
-    source = (docs if is_scan(docs) else materialize(docs, "shard-records")).select("*", place)
+    source = placed(docs, "shard-records").withColumn(_ROW, F.xxhash64(F.substring_index(FILE, "-", 2), ROW, F.lit(seed))).drop(FILE, ROW)
     hashed = source.withColumn(_H, F.xxhash64(F.lit(seed), F.col(id_col), size_of(text_col), F.crc32(body_of(text_col))))
     groups = materialize(hashed.select(_H, size_of(text_col).alias("size")).groupBy(_H).agg(F.count("*").alias("n"), F.sum("size").alias("b")), "shard-groups")
     facts = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
@@ -83,7 +66,8 @@ def shuffled_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     compare = (lambda a, b: F.when(a[_H] < b[_H], -1).when(a[_H] > b[_H], 1).otherwise(0)) if "map<" in docs.schema.simpleString() or "variant" in docs.schema.simpleString() else None
     filled = marked.repartition(min(buckets, most_tasks), _BUCKET).groupBy(_BUCKET).agg(F.array_sort(F.collect_list(record), compare).alias(_HELD))
     turned = filled.sortWithinPartitions(_BUCKET).select(_BUCKET, F.shuffle(_HELD, seed).alias(_HELD))
-    laid = turned.join(offsets(counts.groupBy(_BUCKET).agg(F.sum("n").alias("n"))), _BUCKET).select(_OFFSET, F.posexplode(_HELD).alias(_AT, _ROW))
+    begins = prefix_sums(counts.groupBy(_BUCKET).agg(F.sum("n").alias("n")), [], _BUCKET, "n", _OFFSET)
+    laid = turned.join(begins, _BUCKET).select(_OFFSET, F.posexplode(_HELD).alias(_AT, _ROW))
     return laid.select(f"{_ROW}.r.*", (F.col(_OFFSET) + F.col(_AT)).alias(_AT)), facts.n
 
 
@@ -95,12 +79,12 @@ def write_shards(docs: DataFrame, path: str | None = None, shards: int = 24, id_
     """
     path = path or scratch_path(docs.sparkSession, "shards")
     kept = docs.drop("shard", "slot")
-    placed, rows = shuffled_positions(kept, id_col, text_col, seed, **buckets)
+    laid, rows = shuffled_positions(kept, id_col, text_col, seed, **buckets)
     # Shard s begins at position ceil(s * rows / shards).
-    placed = placed.withColumn("shard", F.expr(f"{_AT} * {shards} div {max(rows, 1)}").cast("int"))
-    placed = placed.withColumn("slot", F.col(_AT) - F.expr(f"(shard * {rows}L + {shards - 1}) div {shards}")).drop(_AT)
-    placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
-    return docs.sparkSession.read.schema(placed.schema).parquet(path).select(*placed.columns)
+    laid = laid.withColumn("shard", F.expr(f"{_AT} * {shards} div {max(rows, 1)}").cast("int"))
+    laid = laid.withColumn("slot", F.col(_AT) - F.expr(f"(shard * {rows}L + {shards - 1}) div {shards}")).drop(_AT)
+    laid.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    return docs.sparkSession.read.schema(laid.schema).parquet(path).select(*laid.columns)
 
 
 def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", seed: int = 7, path: str | None = None, **buckets) -> DataFrame:

@@ -103,3 +103,45 @@ def test_every_pass_has_its_position(spark):
             area = f0 * t + (f1 - f0) / (t1 - t0) * t * t / 2
             assert sum(r.words for r in mine if r.position < t) / mine[0].target == pytest.approx(area, abs=0.01)
     assert {r["pass"] for r in rows_ if r.id % 2 == 0} == {0, 1}
+
+
+def test_positions_are_the_exact_inverse(spark):
+    """Each copy's position is where the schedule's integral, solved by bisection, equals the words before it."""
+    data = rows(200)
+    mixed = mixing.mix(spark.createDataFrame(data, SCHEMA)).collect()
+    source_of = {i: s for i, _, s in data}
+    order = sorted({s for s in source_of.values() if s is not None}, key=lambda s: s.encode()) + [None]
+
+    def spent(knots, t):
+        total = 0.0
+        for (t0, f0), (t1, f1) in zip(knots, knots[1:]):
+            if t > t0:
+                x = min(t, t1) - t0
+                total += f0 * x + (f1 - f0) / (t1 - t0) * x * x / 2
+        return total
+
+    for rank, source in enumerate(order):
+        knots = mixing.RAMPS[rank % 3]
+        copies = sorted((p["pass"], p["position"], p["words"], r.target) for r in mixed if source_of[r.id] == source for p in r.passes)
+        before = 0
+        for _, at, words, target in copies:
+            low, high = 0.0, 1.0
+            for _ in range(60):
+                middle = (low + high) / 2
+                low, high = (middle, high) if spent(knots, middle) < before / target else (low, middle)
+            assert at == pytest.approx(low, abs=1e-9)
+            before += words
+
+
+def test_hot_ids_and_copies_keep_buckets_small(spark):
+    """Neither a third of rows without id nor a third of equal rows meets in one bucket."""
+    data = [(None, f"w {i}", "a") for i in range(300)] + [(7, "w w", "a")] * 300 + [(100 + i, "w", "b") for i in range(300)]
+    df = spark.createDataFrame(data, SCHEMA)
+    out = mixing.mix(df, bucket_rows=20).collect()
+    assert len(out) == 900
+    totals, want = brute_targets(data)
+    for s, name in (("a", "a"), ("b", "b")):
+        mine = [r for r in out if (r.id is None or r.id == 7) == (name == "a")]
+        assert sum(r.taken for r in mine) == int(want[s] + 1e-6) and {r.source_size for r in mine} == {totals[s]}
+        passes = sorted((p["pass"], p["position"]) for r in mine for p in r.passes)
+        assert [p for _, p in passes] == sorted(p for _, p in passes)
