@@ -2,14 +2,20 @@
 
 Every text is measured; each measure is summarised per language and source in a mergeable quantile
 sketch, and the fences drawn from the sketches replace fixed cutoffs: a document is kept if none of its
-measures lies beyond ``upper quartile + max(reach * interquartile range, margin)`` of its group.
+measures lies more than ``reach`` times as far from its group's median as the 5th or 95th percentile
+does.  Where that percentile equals the median, as for measures that are mostly zero, the 1st or 99th
+takes its place; of a measure that is constant beyond that, any other value is an outlier of at most one
+row in a hundred.
 
 The sketch counts values in logarithmic buckets (relative error ``(gamma - 1) / (gamma + 1)``), so
 merging is adding counts: the result does not depend on the order of rows, and partial sketches are
-built before any shuffle.  Groups below ``min_rows`` use the merged sketch of their language, and
-languages below it that of all rows.
+built before any shuffle.  Quantiles of a group are drawn towards those of its language, and these
+towards those of all rows, with the weight of ``prior`` rows; the rule is the same for groups of any size.
 
 Null texts have no words and fail the base rules.  Null languages and sources are groups of their own.
+Rows that repeat are measured and counted like any other.  Very long texts are measured whole, in memory
+of the order of the text.  An empty table gives no row.  Other columns are not read by ``judge`` and all
+kept by ``keep``, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,13 +23,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.words import SPACE, words
+from lodestone.llm.skew import FILE, ROW, placed, salted_join
+from lodestone.llm.words import words
 from lodestone.session import materialize
 
 GAMMA = 1.02
-REACH = 3.0
-#: Least distance of a fence from the upper quartile, by measure.
-MARGINS = {"mean_length": 1.0, "symbol_share": 0.1, "line_share": 0.3, "repeat_share": 0.3}
+REACH = 2.0
+#: Rows' weight of the language's quantiles in those of its groups.
+PRIOR = 50
+MEASURES = ("mean_length", "symbol_share", "line_share", "repeat_share")
+QUANTILES = {"q01": 0.01, "q05": 0.05, "q50": 0.5, "q95": 0.95, "q99": 0.99}
 MIN_WORDS = 50
 _SYMBOLS = r"[#*$%&|<>]+"
 _BLANK = r"\x20\x09-\x0D"
@@ -106,57 +115,70 @@ def merge(sketches: DataFrame, groups: list[str]) -> DataFrame:
     return sketches.groupBy(*groups, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketches: DataFrame, groups: list[str]) -> DataFrame:
-    """``(groups, measure, total, q1, q3)`` out of sketches."""
+def quantiles(sketches: DataFrame, groups: list[str]) -> DataFrame:
+    """``(groups, measure, total, q01, q05, q50, q95, q99)`` out of sketches."""
     by = Window.partitionBy(*groups, "measure")
     run = by.orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = sketches.withColumn("upto", F.sum("n").over(run)).withColumn("total", F.sum("n").over(by))
     value = value_of(F.col("bucket"))
     return counted.groupBy(*groups, "measure").agg(
         F.max("total").alias("total"),
-        *[F.min(F.when(F.col("upto") >= q * F.col("total"), value)).alias(name) for q, name in ((0.25, "q1"), (0.75, "q3"))],
+        *[F.min(F.when(F.col("upto") >= F.lit(q) * F.col("total"), value)).alias(name) for name, q in QUANTILES.items()],
     )
 
 
-def fences(sketches: DataFrame, lang: str = "lang_key", source: str = "source_key", reach: float = REACH, min_rows: int = 50) -> DataFrame:
+def _towards(own: str, other: str, prior: int) -> list[Column]:
+    """The quantiles of ``own`` drawn towards those of ``other``."""
+    n = F.col(f"{own}.total")
+    return [((n * F.col(f"{own}.{q}") + F.lit(prior) * F.col(f"{other}.{q}")) / (n + prior)).alias(q) for q in QUANTILES]
+
+
+def fences(sketches: DataFrame, lang: str = "lang_key", source: str = "source_key", reach: float = REACH, prior: int = PRIOR) -> DataFrame:
     """``(lang, source, low_<measure>, high_<measure>)`` of every group."""
-    own = quartiles(sketches, [lang, source]).select(lang, source, "measure", F.struct("total", "q1", "q3").alias("own"))
-    tongue = quartiles(merge(sketches, [lang]), [lang]).select(lang, "measure", F.struct("total", "q1", "q3").alias("tongue"))
-    everything = quartiles(merge(sketches, []), []).select("measure", F.struct("total", "q1", "q3").alias("everything"))
-    chosen = own.join(tongue, [lang, "measure"]).join(everything, "measure")
-    pick = F.when(F.col("own.total") >= min_rows, F.col("own")).when(F.col("tongue.total") >= min_rows, F.col("tongue")).otherwise(F.col("everything"))
-    margin = F.element_at(F.create_map(*[F.lit(x) for k, m in MARGINS.items() for x in (k, m)]), F.col("measure"))
-    spread = F.greatest(reach * (F.col("p.q3") - F.col("p.q1")), margin)
-    ranged = chosen.withColumn("p", pick).select(lang, source, "measure", (F.col("p.q1") - spread).alias("low"), (F.col("p.q3") + spread).alias("high"))
-    return ranged.groupBy(lang, source).agg(*[F.max(F.when(F.col("measure") == k, F.col(side))).alias(f"{side}_{k}") for k in MARGINS for side in ("low", "high")])
-
-
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", reach: float = REACH, min_rows: int = 50, salts: int = 32) -> DataFrame:
-    """Counts, ``base_failed`` and ``kept`` of every document, beside its id."""
+    packed = lambda df, keys, name: df.select(*keys, "measure", F.struct("total", *QUANTILES).alias(name))
+    own = packed(quantiles(sketches, [lang, source]), [lang, source], "own")
+    tongue = packed(quantiles(merge(sketches, [lang]), [lang]), [lang], "raw")
+    everything = packed(quantiles(merge(sketches, []), []), [], "everything")
+    tongue = tongue.join(everything, "measure").select(lang, "measure", F.struct(*_towards("raw", "everything", prior)).alias("tongue"))
+    drawn = own.join(tongue, [lang, "measure"]).select(lang, source, "measure", *_towards("own", "tongue", prior))
+    low = F.when(F.col("q05") < F.col("q50"), F.col("q05")).otherwise(F.col("q01"))
+    high = F.when(F.col("q95") > F.col("q50"), F.col("q95")).otherwise(F.col("q99"))
+    middle = F.col("q50")
+    ranged = drawn.select(lang, source, "measure", (middle - reach * (middle - low)).alias("low"), (middle + reach * (high - middle)).alias("high"))
+    return ranged.groupBy(lang, source).agg(*[F.max(F.when(F.col("measure") == k, F.col(side))).alias(f"{side}_{k}") for k in MEASURES for side in ("low", "high")])
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", reach: float = REACH, prior: int = PRIOR, salts: int = 32, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Counts, ``base_failed`` and ``kept`` of every document, beside its id and the columns ``keys``."""
     key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
-    keyed = docs.select(F.col(id_col).alias("id"), key(lang_col).alias("lang_key"), key(source_col).alias("source_key"), F.col(text_col).alias("text"))
-    measured = materialize(measure(keyed, "text", ("id", "lang_key", "source_key")), "quality-measures")
-    limits = fences(sketch(measured, ["lang_key", "source_key"]), reach=reach, min_rows=min_rows)
+    keyed = docs.select(F.col(id_col).alias("id"), key(lang_col).alias("lang_key"), key(source_col).alias("source_key"), F.col(text_col).alias("text"), *keys)
+    measured = materialize(measure(keyed, "text", ("id", "lang_key", "source_key", *keys)), "quality-measures")
+    limits = fences(sketch(measured, ["lang_key", "source_key"]), reach=reach, prior=prior)
     inside = F.lit(True)
     for k, v in shares().items():
+        # Fences are made of bucket values, so a share counts as that of its bucket.
+        v = value_of(bucket_of(v))
         inside = inside & (v <= F.col(f"high_{k}") + 1e-9) & (v >= F.col(f"low_{k}") - 1e-9)
     # A third of all rows may share a language and source: rows are salted, the few fences repeated.
-    salted = measured.withColumn("salt", F.pmod(F.xxhash64("id", "n_words", "word_chars"), F.lit(salts)).cast("int"))
-    repeated = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = salted.join(repeated, ["lang_key", "source_key", "salt"])
-    return joined.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & inside).alias("kept"))
+    joined = salted_join(measured, limits, ["lang_key", "source_key"], F.xxhash64("id", "n_words", "word_chars"), salts=salts)
+    return joined.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & inside).alias("kept"), *keys)
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", **rules) -> DataFrame:
-    """The rows of ``docs`` that are kept; rows that repeat an id are kept if any of them is."""
-    kept = judge(docs, id_col, **rules).filter("kept").select(F.col("id").alias("__kept")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["__kept"]), "left_semi")
+    """The rows of ``docs`` that are kept, each judged by itself whether or not its id repeats."""
+    rows = placed(docs, "quality-docs")
+    kept = judge(rows, id_col, keys=(FILE, ROW), **rules).filter("kept").select(FILE, ROW)
+    return rows.join(kept.hint("shuffle_hash"), [FILE, ROW], "left_semi").select(*docs.columns)
 
 
 def _level_sql(name: str, keys: str, i: int) -> str:
-    quartile = lambda q: f"min(val) FILTER (r{i} >= {q} * c{i})"
+    drawn = ", ".join(f"min(val) FILTER (r{i} >= CAST({q} AS DOUBLE) * c{i}) AS {k}" for k, q in QUANTILES.items())
     group = f"measure{', ' + keys if keys else ''}"
-    return f"{name} AS (SELECT {group}, max(c{i}) AS total, {quartile(0.25)} AS q1, {quartile(0.75)} AS q3 FROM ranked GROUP BY {group})"
+    return f"{name} AS (SELECT {group}, max(c{i}) AS total, {drawn} FROM ranked GROUP BY {group})"
+
+
+def _towards_sql(own: str, other: str) -> str:
+    return ", ".join(f"({own}.total * {own}.{q} + {PRIOR} * {other}.{q}) / ({own}.total + {PRIOR}) AS {q}" for q in QUANTILES)
 
 
 OP10_SQL = rf"""
@@ -176,14 +198,12 @@ ranked AS (SELECT *, coalesce(2 * pow({GAMMA}, bucket) / ({GAMMA} + 1), 0.0) AS
              row_number() OVER (PARTITION BY measure, lk, sk ORDER BY bucket NULLS FIRST) AS r1, count(*) OVER (PARTITION BY measure, lk, sk) AS c1,
              row_number() OVER (PARTITION BY measure, lk ORDER BY bucket NULLS FIRST) AS r2, count(*) OVER (PARTITION BY measure, lk) AS c2,
              row_number() OVER (PARTITION BY measure ORDER BY bucket NULLS FIRST) AS r3, count(*) OVER (PARTITION BY measure) AS c3 FROM b),
-{_level_sql('own', 'lk, sk', 1)}, {_level_sql('tongue', 'lk', 2)}, {_level_sql('everything', '', 3)},
-p AS (SELECT own.measure, own.lk, own.sk,
-             CASE WHEN own.total >= 50 THEN own.q1 WHEN tongue.total >= 50 THEN tongue.q1 ELSE everything.q1 END AS q1,
-             CASE WHEN own.total >= 50 THEN own.q3 WHEN tongue.total >= 50 THEN tongue.q3 ELSE everything.q3 END AS q3,
-             CASE own.measure {' '.join(f"WHEN '{k}' THEN {v}" for k, v in MARGINS.items())} END AS margin
-      FROM own JOIN tongue ON own.measure = tongue.measure AND own.lk = tongue.lk JOIN everything ON own.measure = everything.measure),
-f AS (SELECT measure, lk, sk, q1 - greatest({REACH} * (q3 - q1), margin) AS low, q3 + greatest({REACH} * (q3 - q1), margin) AS high FROM p),
-inside AS (SELECT doc_id, bool_and(v <= high + 1e-9 AND v >= low - 1e-9) AS ok FROM s JOIN f USING (measure, lk, sk) GROUP BY doc_id),
+{_level_sql('own', 'lk, sk', 1)}, {_level_sql('raw', 'lk', 2)}, {_level_sql('everything', '', 3)},
+tongue AS (SELECT raw.measure, raw.lk, {_towards_sql('raw', 'everything')} FROM raw JOIN everything USING (measure)),
+p AS (SELECT own.measure, own.lk, own.sk, {_towards_sql('own', 'tongue')} FROM own JOIN tongue USING (measure, lk)),
+f AS (SELECT measure, lk, sk, q50 - {REACH} * (q50 - CASE WHEN q05 < q50 THEN q05 ELSE q01 END) AS low,
+             q50 + {REACH} * (CASE WHEN q95 > q50 THEN q95 ELSE q99 END - q50) AS high FROM p),
+inside AS (SELECT doc_id, bool_and(val <= high + 1e-9 AND val >= low - 1e-9) AS ok FROM ranked JOIN f USING (measure, lk, sk) GROUP BY doc_id),
 judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND ok AS kept FROM judged JOIN inside USING (doc_id)
 """

@@ -42,7 +42,7 @@ def rows():
     return out
 
 
-def brute_kept(data, reach=quality.REACH, min_rows=50):
+def brute_kept(data, reach=quality.REACH, prior=quality.PRIOR):
     def shares(m):
         n, chars, sym, lines, dup, rep = m
         w = max(n, 1)
@@ -60,18 +60,22 @@ def brute_kept(data, reach=quality.REACH, min_rows=50):
         for key in ((lang, source), (lang,), ()):
             groups.setdefault(key, []).append(shares(m))
 
-    def fence(key, k):
+    def quantiles(key, k):
         held = sorted((bucket(s[k]) for s in groups[key]), key=lambda b: -math.inf if b is None else b)
-        at = lambda q: value(next(b for i, b in enumerate(held, 1) if i >= q * len(held)))
-        q1, q3 = at(0.25), at(0.75)
-        spread = max(reach * (q3 - q1), quality.MARGINS[k])
-        return q1 - spread, q3 + spread
+        own = [value(next(b for i, b in enumerate(held, 1) if i >= q * len(held))) for q in (0.01, 0.05, 0.5, 0.95, 0.99)]
+        if not key:
+            return own
+        return [(len(held) * x + prior * y) / (len(held) + prior) for x, y in zip(own, quantiles(key[:-1], k))]
+
+    def fence(key, k):
+        q01, q05, q50, q95, q99 = quantiles(key, k)
+        low, high = (q05 if q05 < q50 else q01), (q95 if q95 > q50 else q99)
+        return q50 - reach * (q50 - low), q50 + reach * (high - q50)
 
     out = Counter()
     for (i, _, lang, source), m in measured:
-        key = next(k for k in ((lang, source), (lang,), ()) if len(groups[k]) >= min_rows or k == ())
         failed = m[0] < 50 or 100 * m[5] > 50 * m[0]
-        inside = all(lo - 1e-9 <= shares(m)[k] <= hi + 1e-9 for k in quality.MARGINS for lo, hi in [fence(key, k)])
+        inside = all(lo - 1e-9 <= value(bucket(shares(m)[k])) <= hi + 1e-9 for k in quality.MEASURES for lo, hi in [fence((lang, source), k)])
         out[i, m[0], m[1], m[2], m[4], m[5], failed, not failed and inside] += 1
     return out
 
@@ -95,3 +99,25 @@ def test_empty_and_filter(spark):
     assert quality.judge(df.limit(0)).collect() == []
     kept = quality.keep(df)
     assert kept.columns == df.columns and 0 < kept.count() < df.count()
+
+
+def test_fences_adapt_to_their_group(spark):
+    """What is usual in one group is an outlier in another, however many documents share it."""
+    rng = random.Random(5)
+    text = lambda mark, n: " ".join(f"{rng.choice('abcdefgh')}{rng.randint(100, 999)}" + (mark if i < n else "") for i in range(100))
+    data = [(i, text("#", rng.randint(40, 60)), "en", "code") for i in range(400)] + [(1000 + i, text("", 0), "en", "news") for i in range(400)]
+    data += [(2000 + i, text("#", 50), "en", "news") for i in range(3)]
+    kept = {r.id: r.kept for r in quality.judge(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert sum(kept[i] for i in range(400)) >= 390 and sum(kept[1000 + i] for i in range(400)) >= 390
+    assert not any(kept[2000 + i] for i in range(3))
+
+
+def test_rows_are_kept_one_by_one(spark):
+    rng = random.Random(6)
+    text = lambda: " ".join(f"w{rng.randint(0, 999)}" for _ in range(80))
+    data = [(i % 3 if i % 2 else None, text() if i % 5 else "short", "en", "a") for i in range(200)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in data], SCHEMA + ", kept string, lang_key int")
+    out = quality.keep(df)
+    assert out.columns == df.columns
+    texts = Counter(r.text for r in out.collect())
+    assert "short" not in texts and sum(texts.values()) >= 150
