@@ -4,12 +4,17 @@ Each word of a text is labelled with a language.  Emission scores come from affi
 n-grams and lexicon entries of the word, hashed into ``dim`` cells; transitions between the languages
 of neighbouring words are learned too, from code-switched sequences spliced out of labelled texts.
 Marginals come from the forward-backward recursion over the whole text, and a document takes the
-language that holds the largest share of its words.
-
-Fitting uses a bounded sample of labelled rows: at most ``per_language`` windows of ``window``
-characters for each language.  Prediction reads whole texts and nothing but the text.  A text that is
-null or has no letter is ``und`` with score 0; so is everything if no labelled row was given.
-Ties go to the language that sorts first.
+language that holds the largest share of its words.  A run of more than ``PIECE`` letters, as in scripts
+without blanks, is labelled piece by piece; pieces overlap by two letters, so every n-gram of the run is
+scored once.
+
+Fitting uses a bounded sample of labelled rows: at most ``per_language`` windows of ``window`` characters
+for each language and ``most_windows`` in all, of the languages with most rows if there are more
+languages than windows.  Prediction reads whole texts and nothing but the text.  A text that is null or
+has no letter is ``und`` with score 0; so is everything if no labelled row was given.  Ties go to the
+language that sorts first.  Rows that repeat are labelled alike, very long texts whole, in memory of the
+order of the text; an empty table gives an empty result.  Other columns stay; ``lang_pred``, ``score`` and,
+in :func:`train_and_identify`, ``held_out`` give way to the new ones.
 """
 
 from __future__ import annotations
@@ -30,10 +35,23 @@ UNKNOWN = "und"
 _RUNS = re.compile(r"[^\W\d_]+")
 _STEP_WORDS = 300_000
 _CACHE_WORDS = 400_000
+#: Letters of a long run that make one position of the chain.
+PIECE = 40
+#: Stands where a piece goes on.
+_ON = "\t"
+
+
+def _pieces(run: str) -> list[str]:
+    """Pieces of a long run; each but the first begins with the two letters before it."""
+    cuts = range(0, len(run), PIECE)
+    return [(_ON + run[a - 2 : a + PIECE] if a else run[:PIECE]) + (_ON if a + PIECE < len(run) else "") for a in cuts]
 
 
 def words_of(text: str | None) -> list[str]:
-    return _RUNS.findall(text.lower()) if text else []
+    runs = _RUNS.findall(text.lower()) if text else []
+    if any(len(r) > PIECE for r in runs):
+        return [p for r in runs for p in (_pieces(r) if len(r) > PIECE else (r,))]
+    return runs
 
 
 def has_letter(word: str) -> bool:
@@ -55,10 +73,12 @@ class _Cells(dict):
 
 
 def features(word: str, lexicons: dict[str, str], cells: _Cells) -> list[int]:
-    """Hashed affix, n-gram and lexicon features of one lower-case word."""
-    w = f"^{word}$" if len(word) <= 40 else f"^{word[:20]}{word[-20:]}$"
+    """Hashed affix, n-gram and lexicon features of one lower-case word, or of a piece of a long run."""
+    w = word[1:] if word[0] == _ON else f"^{word}"
+    w = w[:-1] if w[-1] == _ON else f"{w}$"
     n = len(w)
-    out = [cells["p" + w[:3]], cells["p" + w[:4]], cells["s" + w[-3:]], cells["s" + w[-4:]]]
+    out = [cells["p" + w[:3]], cells["p" + w[:4]]] if w[0] == "^" else []
+    out += [cells["s" + w[-3:]], cells["s" + w[-4:]]] if w[-1] == "$" else []
     out += [cells[w[i : i + 3]] for i in range(n - 2)]
     if word in lexicons:
         out += [cells["=" + word], cells["lexicon " + lexicons[word]]]
@@ -119,8 +139,12 @@ class Crf:
     dim: int = 1 << 16
 
 
-def fit(samples: list[tuple[str, str]], dim: int = 1 << 16, epochs: int = 30, rate: float = 0.15, decay: float = 1e-4, seed: int = 17) -> Crf:
-    """Fit on ``(text, language)`` pairs by full-batch gradient ascent on the conditional likelihood."""
+def fit(samples: list[tuple[str, str]], dim: int = 1 << 16, epochs: int = 30, rate: float = 0.15, decay: float = 1e-4, seed: int = 17, batch_cells: int = 2_000_000) -> Crf:
+    """Fit on ``(text, language)`` pairs by full-batch gradient ascent on the conditional likelihood.
+
+    The gradient is summed over batches of ``batch_cells / languages`` words, so beside the weights, ``dim``
+    by languages three times over, memory does not grow with words times languages.
+    """
     langs = sorted({lang for _, lang in samples})
     model = Crf(langs, dim=dim)
     spoken = [([w for w in words_of(t) if has_letter(w)], langs.index(lang)) for t, lang in samples]
@@ -130,14 +154,16 @@ def fit(samples: list[tuple[str, str]], dim: int = 1 << 16, epochs: int = 30, ra
     counts = [Counter() for _ in langs]
     for ws, k in spoken:
         counts[k].update(ws)
-    everywhere = sum(counts, Counter())
-    for word, n in everywhere.items():
-        share = max((c[word], -k) for k, c in enumerate(counts))
-        if n >= 3 and share[0] >= 0.8 * n:
-            model.lexicons[word] = langs[-share[1]]
+    everywhere: Counter = Counter()
+    for spoken_here in counts:
+        everywhere.update(spoken_here)
+    for k, spoken_here in enumerate(counts):
+        for word, here in spoken_here.items():
+            if (n := everywhere[word]) >= 3 and here >= 0.8 * n:
+                model.lexicons[word] = langs[k]
     rng = np.random.default_rng(seed)
     vocabulary: dict[str, int] = {}
-    ids, labels, lengths = [], [], []
+    sequences: list[tuple[list[int], list[int]]] = []
     pool = [(ws[i : i + 12], k) for ws, k in spoken for i in range(0, len(ws), 12)]
     order = rng.permutation(len(pool))
     at = 0
@@ -147,35 +173,30 @@ def fit(samples: list[tuple[str, str]], dim: int = 1 << 16, epochs: int = 30, ra
         at += take
         if rng.random() < 0.5:
             group = [g for g in group if g[1] == group[0][1]]
-        for ws, k in group:
-            ids += [vocabulary.setdefault(w, len(vocabulary)) for w in ws]
-            labels += [k] * len(ws)
-        lengths.append(sum(len(ws) for ws, _ in group))
-    ids, labels, lengths = np.array(ids), np.array(labels), np.array(lengths)
+        ids = [vocabulary.setdefault(w, len(vocabulary)) for ws, _ in group for w in ws]
+        sequences.append((ids, [k for ws, k in group for _ in ws]))
     cells = _Cells(dim)
-    feats = [features(w, model.lexicons, cells) for w in vocabulary]
-    cell = np.concatenate([np.array(f) for f in feats])
-    edge = np.concatenate([[0], np.cumsum([len(f) for f in feats])[:-1]])
-    owner = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
-    n_langs, n = len(langs), len(ids)
-    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    inner = np.ones(n, bool)
-    inner[first] = False
-    seen_moves = np.zeros((n_langs, n_langs))
-    np.add.at(seen_moves, (labels[:-1][inner[1:]], labels[1:][inner[1:]]), 1)
-    truth = np.eye(n_langs)[labels]
-    params = [np.zeros((dim, n_langs)), np.zeros(n_langs), np.zeros((n_langs, n_langs))]
+    feats = [np.array(features(w, model.lexicons, cells), np.int32) for w in vocabulary]
+    n_langs, n = len(langs), sum(len(ids) for ids, _ in sequences)
+    batches, seen_moves = [], np.zeros((n_langs, n_langs))
+    for part in _batches_of(sequences, max(2_000, batch_cells // n_langs)):
+        batch = _Batch(part, feats)
+        batches.append(batch)
+        np.add.at(seen_moves, (batch.labels[:-1][batch.inner[1:]], batch.labels[1:][batch.inner[1:]]), 1)
+    kinds = np.float64 if n_langs * dim <= 1 << 20 else np.float32
+    params = [np.zeros((dim, n_langs), kinds), np.zeros(n_langs), np.zeros((n_langs, n_langs))]
     speed = [np.zeros_like(p) for p in params]
     scale = [np.zeros_like(p) for p in params]
     for step in range(1, epochs + 1):
-        per_word = np.add.reduceat(params[0][cell], edge, axis=0)
-        gamma, moves = forward_backward(per_word[ids], lengths, params[1], params[2])
-        miss = truth - gamma
-        word_miss = np.stack([np.bincount(ids, miss[:, k], len(vocabulary)) for k in range(n_langs)], axis=1)
-        cell_miss = np.stack([np.bincount(cell, word_miss[owner, k], dim) for k in range(n_langs)], axis=1)
-        grads = [cell_miss / n, miss[first].sum(axis=0) / len(first), (seen_moves - moves) / n]
+        grads = [np.zeros_like(p) for p in params]
+        for batch in batches:
+            batch.add_gradient(params, grads)
+        grads[1] /= len(sequences)
+        grads[2] += seen_moves
+        for g in (grads[0], grads[2]):
+            g /= n
         for p, g, v, s in zip(params, grads, speed, scale):
-            g = g - decay * p
+            g -= decay * p
             v += 0.1 * (g - v)
             s += 0.01 * (g * g - s)
             p += rate * (v / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
@@ -183,6 +204,49 @@ def fit(samples: list[tuple[str, str]], dim: int = 1 << 16, epochs: int = 30, ra
     return model
 
 
+def _batches_of(sequences: list[tuple[list[int], list[int]]], most: int):
+    """Runs of sequences of about ``most`` words."""
+    held, words = [], 0
+    for x in sequences:
+        held.append(x)
+        words += len(x[0])
+        if words >= most:
+            yield held
+            held, words = [], 0
+    if held:
+        yield held
+
+
+class _Batch:
+    """Sequences whose gradient is computed at once; holds whole numbers only."""
+
+    def __init__(self, sequences: list[tuple[list[int], list[int]]], feats: list[np.ndarray]):
+        words, self.ids = np.unique(np.concatenate([ids for ids, _ in sequences]), return_inverse=True)
+        self.labels = np.concatenate([labels for _, labels in sequences]).astype(np.int32)
+        self.lengths = np.array([len(ids) for ids, _ in sequences])
+        self.first = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+        self.inner = np.ones(len(self.ids), bool)
+        self.inner[self.first] = False
+        sizes = np.array([len(feats[w]) for w in words])
+        self.cell = np.concatenate([feats[w] for w in words])
+        self.edge = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        by_word = np.argsort(self.ids, kind="stable")
+        self.by_word, self.word_edge = by_word, np.searchsorted(self.ids[by_word], np.arange(len(words)))
+        by_cell = np.argsort(self.cell, kind="stable")
+        self.owner = np.repeat(np.arange(len(words), dtype=np.int32), sizes)[by_cell]
+        self.cells, self.cell_edge = np.unique(self.cell[by_cell], return_index=True)
+
+    def add_gradient(self, params: list[np.ndarray], grads: list[np.ndarray]) -> None:
+        scores = np.add.reduceat(params[0][self.cell], self.edge, axis=0)
+        miss, moves = forward_backward(scores[self.ids], self.lengths, params[1], params[2])
+        np.negative(miss, out=miss)
+        miss[np.arange(len(miss)), self.labels] += 1
+        per_word = np.add.reduceat(miss[self.by_word], self.word_edge, axis=0)
+        grads[0][self.cells] += np.add.reduceat(per_word[self.owner], self.cell_edge, axis=0)
+        grads[1] += miss[self.first].sum(axis=0)
+        grads[2] -= moves
+
+
 class _Scorer(dict):
     """Row of each word in a growing table of emission scores; -1 for runs without a letter."""
 
@@ -255,23 +319,27 @@ def predict_texts(model: Crf, texts: list[str | None], scorer: _Scorer | None =
     return names, marks
 
 
-def sample_labelled(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 250, window: int = 1200, max_languages: int = 500) -> list[tuple[str, str]]:
-    """At most ``per_language`` text windows of each language, chosen and placed by hash."""
+def sample_labelled(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 250, window: int = 1200, most_windows: int = 20_000) -> list[tuple[str, str]]:
+    """Text windows of each language, chosen and placed by hash.
+
+    At most ``per_language`` of a language and ``most_windows`` in all (24 MB of text at 1,200 characters).
+    """
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("t"), F.col(lang_col).alias("k"))
-    counts = {r.k: r["count"] for r in labelled.groupBy("k").count().limit(max_languages + 1).collect()}
+    counts = labelled.groupBy("k").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "k").limit(most_windows).collect()
     if not counts:
         return []
-    if len(counts) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
-    rates = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, 4.0 * per_language / n))])
-    draw = F.xxhash64("t")
+    each = min(per_language, max(1, most_windows // len(counts)))
+    whole = 1 << 40
+    rates = docs.sparkSession.createDataFrame([(r.k, max(1, min(whole, 4 * each * whole // r.n))) for r in counts], f"k {labelled.schema['k'].dataType.simpleString()}, rate bigint")
     thin = (
-        labelled.withColumn("h", draw)
-        .filter(F.pmod("h", F.lit(1 << 20)) < rates[F.col("k")] * (1 << 20))
-        .withColumn("t", F.expr(f"substring(t, cast(pmod(shiftright(h, 20), greatest(char_length(t) - {window}, 0) + 1) as int) + 1, {window})"))
+        labelled.join(F.broadcast(rates), "k")
+        .withColumn("h", F.xxhash64("t"))
+        .filter(F.pmod("h", F.lit(whole)) < F.col("rate"))
+        .withColumn("t", F.expr(f"substring(t, cast(pmod(xxhash64(t, 1), greatest(char_length(t) - {window}, 0) + 1) as int) + 1, {window})"))
+        .select("t", "k", "h")
         .distinct()
     )
-    ranked = thin.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("h", "t"))).filter(F.col("r") <= per_language)
+    ranked = thin.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("h", "t"))).filter(F.col("r") <= each)
     return sorted((r.t, r.k) for r in ranked.select("t", "k").collect())
 
 
@@ -283,10 +351,11 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
 def identify(docs: DataFrame, model: Crf, text_col: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
     """``docs``, less the columns ``drop``, with ``lang_pred`` and ``score``."""
     fields = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
     def start():
-        scorer = _Scorer(model)
-        return lambda texts: predict_texts(model, texts.to_pylist(), scorer)
+        scorer = _Scorer(held.value)
+        return lambda texts: predict_texts(held.value, texts.to_pylist(), scorer)
 
     return with_columns(docs, [text_col], fields, start, drop)
 

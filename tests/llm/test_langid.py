@@ -90,3 +90,88 @@ def test_sample_is_bounded(spark):
     df = spark.createDataFrame([(t + f" tail{i}" * 50, lang) for i, (t, lang) in enumerate(labelled(300))], "text string, lang string")
     sample = langid.sample_labelled(df, per_language=10, window=100)
     assert 0 < len(sample) <= 30 and all(len(t) <= 100 for t, _ in sample)
+
+
+def test_long_runs_are_read_to_their_last_letter():
+    """Every trigram of a run is a feature of exactly one piece; short words are as before."""
+    rng = random.Random(12)
+    for n in (40, 41, 42, 79, 80, 81, 100, 1000):
+        run = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+        pieces = langid.words_of(run)
+        assert len(pieces) == -(-n // langid.PIECE)
+        grams = []
+        for p in pieces:
+            w = p[1:] if p[0] == "\t" else "^" + p
+            w = w[:-1] if w[-1] == "\t" else w + "$"
+            grams += [w[i : i + 3] for i in range(len(w) - 2)]
+            assert all(c >= 0 for c in langid.features(p, {}, langid._Cells(1 << 16)))
+        marked = f"^{run}$"
+        assert grams == [marked[i : i + 3] for i in range(len(marked) - 2)]
+    assert langid.words_of("the end") == ["the", "end"]
+
+
+def test_script_without_blanks():
+    rng = random.Random(13)
+    letters = {"aa": "あいうえおかきくけこ", "bb": "ㄱㄴㄷㄹㅁㅂㅅㅇㅈㅊ"}
+    made = lambda k, n: "".join(rng.choice(letters[k]) for _ in range(n))
+    model = langid.fit([(made(k, 120), k) for k in letters for _ in range(40)], epochs=10)
+    name, score = langid.predict_texts(model, [made("aa", 45) + made("bb", 300)])
+    assert name == ["bb"] and 0.7 < score[0] < 0.95  # the middle of the run decides, not its ends
+
+
+def test_batched_gradient_equals_the_numeric_one():
+    """The gradient over batches is that of the conditional likelihood, by enumeration of all labellings."""
+    rng = np.random.default_rng(3)
+    feats = [np.array(sorted(rng.choice(9, size=rng.integers(1, 5), replace=False)), np.int32) for _ in range(6)]
+    sequences = [([0, 1, 2], [0, 1, 1]), ([3, 0], [1, 0]), ([4, 5, 4, 1], [1, 1, 0, 1])]
+    params = [rng.normal(size=(9, 2)), rng.normal(size=2), rng.normal(size=(2, 2))]
+
+    def likelihood(w, start, trans):
+        total = 0.0
+        for ids, labels in sequences:
+            score = lambda ys: start[ys[0]] + sum(w[feats[i], y].sum() for i, y in zip(ids, ys)) + sum(trans[a, b] for a, b in zip(ys, ys[1:]))  # noqa: E731, B023
+            total += score(labels) - np.log(sum(np.exp(score(ys)) for ys in product(range(2), repeat=len(ids))))
+        return total
+
+    for most in (2, 100):
+        grads = [np.zeros_like(p) for p in params]
+        for part in langid._batches_of(sequences, most):
+            langid._Batch(part, feats).add_gradient(params, grads)
+        for ids, labels in sequences:
+            for a, b in zip(labels, labels[1:]):
+                grads[2][a, b] += 1
+        for p, g in zip(params, grads):
+            for at in np.ndindex(*p.shape):
+                kept, step = p[at], 1e-5
+                p[at] = kept + step
+                up = likelihood(*params)
+                p[at] = kept - step
+                down = likelihood(*params)
+                p[at] = kept
+                assert abs((up - down) / (2 * step) - g[at]) < 1e-6
+
+
+def test_label_of_a_whole_text_by_hand():
+    """Score and label against emission scores added feature by feature and paths enumerated."""
+    model = langid.fit(labelled(60), epochs=5)
+    cells = langid._Cells(model.dim)
+    for text in ("the une der", "le", "and that le und nicht", "Über cette"):
+        words = langid.words_of(text)
+        emit = np.array([model.weights[langid.features(w, model.lexicons, cells)].sum(axis=0) for w in words], np.float64)
+        shares = np.zeros(3)
+        total = 0.0
+        for path in product(range(3), repeat=len(words)):
+            p = np.exp(model.start[path[0]] + sum(emit[i, y] for i, y in enumerate(path)) + sum(model.trans[a, b] for a, b in zip(path, path[1:])))
+            total += p
+            for y in path:
+                shares[y] += p / len(words)
+        name, score = langid.predict_texts(model, [text])
+        assert name[0] == model.languages[int(shares.argmax())] and abs(score[0] - shares.max() / total) < 1e-4
+
+
+def test_many_languages_are_learned_from_a_bounded_sample(spark):
+    rows = [(f"word{k} text{k} some{k} " * 5 + str(i), f"l{k:03d}") for k in range(620) for i in range(2 if k < 600 else 1)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    sample = langid.sample_labelled(df, per_language=5, most_windows=700)
+    assert len(sample) == len({k for _, k in sample}) == 620
+    assert {k for _, k in langid.sample_labelled(df, per_language=5, most_windows=600)} == {f"l{k:03d}" for k in range(600)}
