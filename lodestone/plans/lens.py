@@ -68,11 +68,18 @@ def sparse_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 SPARSE_SQL = """
 edges AS (
   SELECT source, target, relation, round(max(l_discount) + 0.5, 4) AS confidence, source || ':' || target || ':' || relation AS edge_id
-  FROM (SELECT 'S' || l_suppkey AS source, 'P' || l_partkey AS target, l_returnflag AS relation, l_discount FROM lineitem WHERE l_quantity >= 50)
+  FROM (SELECT 'S' || l_suppkey AS source, 'P' || l_partkey AS target, l_returnflag AS relation, l_discount FROM lineitem)
   GROUP BY source, target, relation),
 pairs AS (SELECT source AS a, target AS b FROM edges UNION SELECT target, source FROM edges)"""
 
 
+#: Least reachable node of every node with a pair, by recursion over the nodes whose label falls.
+COMPONENTS_SQL = """cc(node, root) USING KEY (node) AS (
+  SELECT a AS node, min(least(a, b)) AS root FROM pairs GROUP BY a
+  UNION
+  SELECT p.a, min(c.root) FROM cc c JOIN pairs p ON p.b = c.node JOIN recurring.cc o ON o.node = p.a WHERE c.root < o.root GROUP BY p.a)"""
+
+
 def walk_sql(name: str, seed: str, hops: int) -> str:
     """Depths by breadth-first search as a chain of tables, one per hop."""
     parts = [f"{name}_0 AS (SELECT DISTINCT a AS node, 0 AS depth FROM pairs WHERE a IN ({seed}))"]

@@ -301,7 +301,7 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT conv_id, sha256(string_agg('[WORK ' || turn || ']' || chr(10) || 'Title: ' || role || chr(10) || 'DOI: ' || chr(10) || trim(text, ' ') || chr(10) || '[/WORK ' || turn || ']', chr(10) || chr(10) ORDER BY turn)) AS stacked
-FROM conversations WHERE conv_id % 2 = 0 GROUP BY conv_id"""
+FROM conversations GROUP BY conv_id"""
 )
 def stack_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
@@ -345,9 +345,9 @@ def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH RECURSIVE {lens.SPARSE_SQL}, deg AS (SELECT node, count(*) AS degree FROM (SELECT source AS node FROM edges UNION ALL SELECT target FROM edges) GROUP BY 1),
 single AS (SELECT count(*) AS n FROM edges JOIN deg a ON a.node = source JOIN deg b ON b.node = target WHERE a.degree = 1 AND b.degree = 1),
-reach AS (SELECT node AS root, node FROM deg UNION SELECT root, b FROM reach JOIN pairs ON a = reach.node),
-comp AS (SELECT max(n) AS n FROM (SELECT count(*) AS n FROM (SELECT node, min(root) AS root FROM reach GROUP BY node) GROUP BY root)),
-docs AS (SELECT 'P' || l_partkey AS entity, l_orderkey FROM lineitem WHERE l_quantity >= 50),
+{lens.COMPONENTS_SQL},
+comp AS (SELECT max(n) AS n FROM (SELECT count(*) AS n FROM cc GROUP BY root)),
+docs AS (SELECT 'P' || l_partkey AS entity, l_orderkey FROM lineitem),
 reuse AS (SELECT count(*) AS n FROM (SELECT entity FROM docs GROUP BY 1 HAVING count(DISTINCT l_orderkey) >= 2)),
 t AS (SELECT (SELECT count(*) FROM docs) AS mentions, (SELECT count(*) FROM deg) AS entities, (SELECT count(*) FROM docs) AS evidence, (SELECT count(*) FROM edges) AS e, (SELECT count(*) FROM edges WHERE relation = 'OTHER') AS other)
 SELECT round(single.n / e, 4) AS singleton_ratio, round(comp.n / entities, 4) AS largest_component_ratio, round(mentions / entities, 4) AS compression,
@@ -430,8 +430,7 @@ def bfs_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH RECURSIVE {lens.SPARSE_SQL}, reach AS (SELECT a AS root, a AS node FROM pairs UNION SELECT root, b FROM reach JOIN pairs ON a = reach.node)
-SELECT node, min(root) AS root FROM reach GROUP BY node"""
+    f"""WITH RECURSIVE {lens.SPARSE_SQL}, {lens.COMPONENTS_SQL} SELECT node, root FROM cc"""
 )
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = materialize(lens.sparse_edges(spark, sf_dir), "sparse-edges")
