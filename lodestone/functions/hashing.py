@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.functions.text import alias_key
+from lodestone.functions.text import alias_key, search_text
 
 # Qualifiers that describe the evidence and not the fact.
 EVIDENCE_QUALIFIERS = ("effect_size", "statistical_significance", "study_type")
@@ -25,33 +25,41 @@ def entity_id(entity_type: Column, name: Column) -> Column:
 
 
 def json_string(value: Column) -> Column:
-    """A JSON string literal with the mandatory escapes."""
-    out = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    for raw, escape in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-        out = F.replace(out, F.lit(raw), F.lit(escape))
-    return F.concat(F.lit('"'), out, F.lit('"'))
+    """A JSON string literal with the mandatory escapes, control characters in lower-case hex."""
+    literal = F.to_json(F.struct(value.alias("v")))
+    out = F.substring(literal, F.lit(6), F.length(literal) - 6)
+    fixed = out
+    for code in (0x0B, 0x0E, 0x0F, *range(0x1A, 0x20)):
+        fixed = F.regexp_replace(fixed, rf"(?<!\\)((?:\\\\)*)\\u{code:04X}", rf"$1\\u{code:04x}")
+    return F.when(value.isNull(), F.lit(None).cast("string")).otherwise(F.when(value.rlike(r"[\x0B\x0E\x0F\x1A-\x1F]"), fixed).otherwise(out))
 
 
 def canonical_qualifiers(qualifiers: Column) -> Column:
     """Sorted JSON of a string map without evidence-level and blank entries, values folded."""
     kept = F.map_filter(qualifiers, lambda k, v: ~k.isin(*EVIDENCE_QUALIFIERS))
-    entries = F.transform(F.map_entries(kept), lambda e: F.struct(e.key.alias("key"), F.trim(F.regexp_replace(F.replace(F.lower(e.value), F.lit("ß"), F.lit("ss")), r"\s+", " ")).alias("value")))
-    entries = F.array_sort(F.filter(entries, lambda e: e.value.isNotNull() & (e.value != "")))
+    entries = F.transform(F.map_entries(kept), lambda e: F.struct(e.key.alias("key"), search_text(e.value).alias("value")))
+    entries = F.array_sort(F.filter(entries, lambda e: e.value != ""))
     pairs = F.transform(entries, lambda e: F.concat(json_string(e.key), F.lit(":"), json_string(e.value)))
     return F.coalesce(F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}")), F.lit("{}"))
 
 
-def _tidy(value):
-    """Folded strings, without blanks and empties at any depth; keys and lists in order."""
-    if isinstance(value, str):
-        return " ".join(value.split()).casefold()
-    empty = (None, "", [], {})
-    if isinstance(value, dict):
-        made = {k: _tidy(v) for k, v in value.items()}
-        return {k: made[k] for k in sorted(made) if made[k] not in empty}
+_NOTHING = (None, "", [], {})
+
+
+def _compact_json(value) -> str:
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def _entry(value):
+    """A value as it stands in an object or list; objects inside it were made by ``_object`` already."""
     if isinstance(value, list):
-        return sorted((x for x in map(_tidy, value) if x not in empty), key=lambda x: json.dumps(x, sort_keys=True, ensure_ascii=False))
-    return value
+        return sorted((e for e in map(_entry, value) if e not in _NOTHING), key=lambda e: json.dumps(e, sort_keys=True, ensure_ascii=False))
+    return " ".join(value.split()).casefold() if isinstance(value, str) else value
+
+
+def _object(pairs: list[tuple[str, object]]) -> dict:
+    """Called by the parser for every object, innermost first."""
+    return {k: e for k, v in pairs if (e := _entry(v)) not in _NOTHING}
 
 
 @F.pandas_udf(T.StringType())
@@ -59,8 +67,8 @@ def nested_qualifiers(values: pd.Series) -> pd.Series:
     """Canonical JSON of qualifiers given as a JSON object of any depth; null counts as empty."""
 
     def one(text: str | None) -> str:
-        body = json.loads(text) if text else {}
-        return json.dumps(_tidy({k: v for k, v in body.items() if k not in EVIDENCE_QUALIFIERS}), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+        kept = json.loads(text, object_pairs_hook=_object) if text else {}
+        return _compact_json({k: v for k, v in kept.items() if k not in EVIDENCE_QUALIFIERS})
 
     return values.map(one)
 

@@ -8,6 +8,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions.text import mention_offset, offset_of
+from lodestone.operators.layered import in_blocks
+from lodestone.operators.skew import counted_join, salted_join
+from lodestone.session import materialize
+
 
 def chunk_spans(content: Column, size: int | None, overlap: int = 0) -> Column:
     """Array of ``(index, start, stop)``; steps of ``size - overlap``, the last chunk ends with the text."""
@@ -31,6 +36,47 @@ def evidence_validated(content: Column, evidence: Column) -> Column:
     return F.coalesce(F.contains(content, evidence), F.lit(False))
 
 
+def _inner_words(text: Column, n: int) -> Column:
+    """Hashes of the runs of ``n`` words of a text."""
+    words = F.filter(F.split(text, WHITE), lambda w: w != "")
+    at = F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1)))
+    return F.when(F.size(words) >= n, F.transform(at, lambda i: F.xxhash64(F.array_join(F.slice(words, i, F.lit(n)), " "))))
+
+
+WHITE = r"[\x20\x09-\x0D]+"
+
+
+def find_passages(docs: DataFrame, passages: DataFrame, id_col: str, passage_id: str, text_col: str = "text", passage_col: str = "passage", inner: int = 3) -> DataFrame:
+    """``(passage_id, id, offset)`` of every document row that holds a passage as a substring.
+
+    Where a passage stands, the words inside it stand whole and in the same order, so a run of ``inner`` of
+    them, neither the first nor the last, must be among the document's.  Documents and passages meet on the
+    hash of that run, and what meets is verified on the texts.  Passages with fewer words are searched in
+    every document, in blocks.
+    """
+    docs = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).filter("__text is not null")
+    p = passages.select(F.col(passage_id).alias("__item"), F.col(passage_col).alias("__passage")).filter("__passage is not null")
+    words = F.filter(F.split("__passage", WHITE), lambda w: w != "")
+    p = p.withColumn("__run", F.when(F.size(words) >= inner + 2, F.xxhash64(F.array_join(F.slice(words, 2, inner), " "))))
+    p = materialize(p, "passages")
+    anchored = p.filter("__run is not null")
+    met = None
+    if not anchored.isEmpty():
+        keys = anchored.select("__run").distinct()
+        thin = counted_join(docs.select("__id", F.sha2("__text", 256).alias("__sha"), F.explode(F.array_distinct(_inner_words(F.col("__text"), inner))).alias("__run")), keys, ["__run"], F.xxhash64("__id"), "inner", 1_000_000)
+        # Few documents hold a run, so texts are joined to those alone.
+        pairs = materialize(salted_join(thin, anchored.select("__run", "__item", "__passage"), ["__run"], F.xxhash64("__id")).select("__sha", "__item", "__passage").distinct(), "passage-pairs")
+        keyed = docs.withColumn("__sha", F.sha2("__text", 256))
+        met = counted_join(keyed, pairs, ["__sha"], F.xxhash64("__id")).filter(F.contains("__text", "__passage")).select("__item", "__id", "__text", "__passage")
+    short = p.filter("__run is null").select("__item", "__passage")
+    for block in in_blocks(short, 1_000):
+        part = docs.join(F.broadcast(block), F.contains("__text", "__passage")).select("__item", "__id", "__text", "__passage")
+        met = part if met is None else met.unionByName(part)
+    if met is None:
+        met = p.join(docs, F.lit(False)).select("__item", "__id", "__text", "__passage")
+    return met.select(F.col("__item").alias(passage_id), F.col("__id").alias(id_col), offset_of(F.col("__text"), F.col("__passage")).alias("offset"))
+
+
 def extraction_violations(subject: Column, object_: Column, relation: Column, evidence: Column, confidence: Column, entity_type: Column, detail: Column) -> Column:
     """Array of broken rules of one extracted assertion."""
     blank = lambda c: F.coalesce(F.length(F.trim(c)) == 0, F.lit(True))
@@ -65,3 +111,29 @@ def offline_extractor(text: str) -> list[dict]:
         if len(words) == 3:
             out.append({"subject": words[0], "relation": words[1], "object": words[2], "evidence": sentence.strip(), "confidence": 0.5})
     return out
+
+
+def persist(extracted: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(mentions, assertions)`` of extraction rows ``(document_id, subject, subject_type, relation, object, object_type, evidence, confidence)``.
+
+    Repeated assertions of a document count once.  Mentions carry the character span of their place in the
+    document, inside the evidence where that stands in it; assertions say whether it does.  Ids are hashes
+    of what identifies a row, so a second run makes the same rows.
+    """
+    body = F.to_json(F.struct("subject", "subject_type", "relation", "object", "object_type", "evidence"))
+    order = F.struct(*[c for c in ("chunk_index", "position") if c in extracted.columns], "confidence")
+    once = extracted.withColumn("__body", body).withColumn("__order", order)
+    keep = ["subject", "subject_type", "relation", "object", "object_type", "evidence", "confidence"]
+    once = once.groupBy("document_id", F.sha2("__body", 256).alias("__key")).agg(F.min_by(F.struct(*keep), "__order").alias("r")).select("document_id", "__key", "r.*")
+    hashed = lambda *cols: F.sha2(F.concat_ws("\x01", *cols), 256)
+    once = once.withColumns({f"{end}_mention": hashed("document_id", "__key", F.lit(end)) for end in ("subject", "object")})
+    placed = once.join(docs.select(F.col("document_id"), F.col("content")), "document_id", "left")
+    ends = None
+    for end in ("subject", "object"):
+        start = mention_offset(F.col("content"), F.col("evidence"), F.col(end))
+        part = placed.select(F.col(f"{end}_mention").alias("mention_id"), "document_id", F.col(end).alias("mention_text"), F.col(f"{end}_type").alias("entity_type"), start.alias("character_start"), (start + F.length(end)).alias("character_end"))
+        ends = part if ends is None else ends.unionByName(part)
+    assertions = placed.select(
+        hashed("document_id", "__key").alias("raw_id"), "document_id", "subject_mention", "object_mention", F.col("relation").alias("phrase"), F.col("evidence").alias("evidence_text"), "confidence", evidence_validated(F.col("content"), F.col("evidence")).alias("evidence_validated")
+    )
+    return ends, assertions

@@ -24,10 +24,21 @@ def pending(jobs: DataFrame, stages: list[str] | None = None, version: str | Non
 
 
 def claim(jobs: DataFrame, n: int, worker: str, now: Column, lease_seconds: int) -> DataFrame:
-    """The ``n`` lowest pending jobs, marked as running under a lease."""
+    """The ``n`` lowest pending jobs, marked as running under a lease.
+
+    The driver plans one claim at a time; :func:`commit_claim` then writes the new state once, and a second
+    claim on the same state finds its file there and is refused, so no job is handed out twice.
+    """
     return pending(jobs).orderBy("job_id").limit(n).withColumn("status", F.lit("RUNNING")).withColumn("worker_id", F.lit(worker)).withColumn("lease_expires", now + F.make_interval(secs=F.lit(lease_seconds)))
 
 
+def commit_claim(jobs: DataFrame, claimed: DataFrame, path: str, generation: int) -> DataFrame:
+    """The next state of ``jobs``, written as ``path/<generation>``; fails if that generation exists."""
+    state = jobs.join(claimed.select("job_id"), "job_id", "left_anti").unionByName(claimed, allowMissingColumns=True)
+    state.write.mode("errorifexists").parquet(f"{path}/{generation:08d}")
+    return jobs.sparkSession.read.parquet(f"{path}/{generation:08d}")
+
+
 def is_stale(now: Column, cutoff: Column) -> Column:
     expired = F.col("lease_expires") < now
     return (F.col("status") == "RUNNING") & F.coalesce(expired, F.col("started_at") < cutoff, F.lit(False))
@@ -46,11 +57,19 @@ def fail(jobs: DataFrame, failed: DataFrame, most: int = 20_000) -> DataFrame:
     return j.withColumns({"error": F.when(hit, F.substring("message", 1, most)).otherwise(F.col("error")), "retry_count": F.col("retry_count") + hit.cast("int"), "status": F.when(hit, "FAILED").otherwise(F.col("status"))}).drop("hit", "message")
 
 
-def retry_failed(jobs: DataFrame, prefix: str = "") -> DataFrame:
+def retry_failed(jobs: DataFrame, prefix: str = "", document_id: str | None = None) -> DataFrame:
     hit = (F.col("status") == "FAILED") & F.col("stage").startswith(prefix)
+    if document_id is not None:
+        hit = hit & (F.col("document_id") == document_id)
     return jobs.withColumn("status", F.when(hit, "PENDING").otherwise(F.col("status")))
 
 
+def status_totals(jobs: DataFrame) -> DataFrame:
+    """``(stage, stage_version, status, jobs)`` at two levels: details, and one row per status with a null stage."""
+    levels = jobs.groupingSets([["stage", "stage_version", "status"], ["status"]], "stage", "stage_version", "status")
+    return levels.agg(F.count("*").alias("jobs"))
+
+
 def status_report(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy("stage", "stage_version", "status").agg(F.count("*").alias("jobs"))
 
@@ -61,6 +80,20 @@ def reusable_chunks(wanted: DataFrame, done: DataFrame, keys: list[str]) -> tupl
     return wanted.join(good, keys, "left_anti"), wanted.join(good, keys, "left_semi")
 
 
+def prepare_chunks(wanted: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """Chunk jobs of a run: stored successes stay, all others start over as pending without output or error."""
+    kept = stored.filter("status = 'SUCCESS'").join(wanted.select(*keys).distinct(), keys, "left_semi")
+    fresh = wanted.join(kept.select(*keys), keys, "left_anti").withColumn("status", F.lit("PENDING"))
+    return kept.unionByName(fresh, allowMissingColumns=True)
+
+
+def run_statistics(jobs: DataFrame, calls: DataFrame) -> DataFrame:
+    """One row: documents that succeeded and failed, requests, and tokens in and out."""
+    done = jobs.agg(F.countDistinct(F.when(F.col("status") == "SUCCESS", F.col("document_id"))).alias("documents_succeeded"), F.countDistinct(F.when(F.col("status") == "FAILED", F.col("document_id"))).alias("documents_failed"))
+    spent = calls.agg(F.count("*").alias("requests"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("input_tokens", "output_tokens")])
+    return done.crossJoin(spent)
+
+
 def rate_limit_schedule(requests: DataFrame, per_minute: float, tokens_per_minute: float, seconds: str = "t", tokens: str = "tokens", order: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
     """Adds ``cost``, ``scheduled`` and ``wait`` under a virtual schedule of requests and tokens.
 

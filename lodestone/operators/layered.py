@@ -29,15 +29,32 @@ def match_entities(entities: DataFrame, keywords: DataFrame, aliases: DataFrame
     fields = fields.withColumn("text", keyword_text(F.col("value"))).filter(F.length("text") > 0)
     wanted = keywords.select(F.col(keywords.columns[0]).alias("keyword")).withColumn("needle", keyword_text(F.col("keyword"))).filter(F.length("needle") > 0)
     hit = F.when(F.col("field") == "entity_id", F.col("text") == F.col("needle")).otherwise(F.contains("text", "needle"))
-    return fields.join(F.broadcast(_few(wanted)), hit).select("keyword", "entity_id", "field").distinct()
+    found = None
+    for block in in_blocks(wanted):
+        part = fields.join(F.broadcast(block), hit).select("keyword", "entity_id", "field")
+        found = part if found is None else found.unionByName(part)
+    return fields.select(F.col("entity_id").alias("keyword"), "entity_id", "field").limit(0) if found is None else found.distinct()
 
 
-def _few(keywords: DataFrame, most: int = 10_000) -> DataFrame:
-    """Keywords come from a configuration; more than ``most`` of them are refused."""
-    rows = keywords.limit(most + 1).collect()
-    if len(rows) > most:
-        raise BuildError(f"more than {most} keywords")
-    return keywords.sparkSession.createDataFrame(rows, keywords.schema)
+def keywords_of(matches: DataFrame) -> DataFrame:
+    """``(entity_id, matched_keywords)``: the keywords of each entity, sorted and joined by pipes."""
+    return matches.groupBy("entity_id").agg(piped(F.col("keyword")).alias("matched_keywords"))
+
+
+def in_blocks(queries: DataFrame, most: int = 10_000) -> list[DataFrame]:
+    """A stated set of queries as tables of about ``most`` rows, each small enough to be broadcast."""
+    n = -(-queries.count() // most)
+    if n <= 1:
+        return [queries] * n
+    block = F.pmod(F.xxhash64(*queries.columns), F.lit(n))
+    kept = materialize(queries.withColumn("__block", block), "query-blocks")
+    return [kept.filter(F.col("__block") == i).drop("__block") for i in range(n)]
+
+
+def primary_ids(external: DataFrame) -> DataFrame:
+    """``(entity_id, external_id)``: the primary external id of each entity, else its least normalized one."""
+    order = F.struct((~F.col("is_primary")).alias("secondary"), "normalized_id")
+    return external.groupBy("entity_id").agg(F.min(order).alias("best")).select("entity_id", F.col("best.normalized_id").alias("external_id"))
 
 
 def node_id(side: str, depth: Column, entity: Column) -> Column:

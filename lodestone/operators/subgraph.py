@@ -25,7 +25,8 @@ def candidate_scores(nodes: DataFrame, query: str, root_name: str, fields: list[
     """Nodes with ``query`` in any search field, with their matched fields and selection score."""
     needle, root = F.lit(" ".join(query.strip().casefold().split())), F.lit(" ".join(root_name.strip().casefold().split()))
     types = dict(nodes.dtypes)
-    has = lambda f: F.exists(F.col(f), lambda v: F.contains(search_text(v), needle)) if types[f].startswith("array") else F.contains(search_text(F.col(f)), needle)
+    # Values of a list are searched as one text, with a mark between them that no query holds.
+    has = lambda f: F.contains(search_text(F.array_join(f, "\x1f") if types[f].startswith("array") else F.col(f)), needle)
     matched = F.filter(F.array(*[F.when(F.coalesce(has(f), F.lit(False)), F.lit(f)) for f in fields]), lambda x: x.isNotNull())
     name = search_text(F.col("name"))
     points = [(name == root, 1000), (name == needle, 500), (F.array_contains("matched", "name"), 100), (F.col("id").startswith("EFO_"), 20), (F.col("id").startswith("MONDO_"), 10)]
@@ -36,9 +37,29 @@ def candidate_scores(nodes: DataFrame, query: str, root_name: str, fields: list[
     return found.select("id", "name", F.array_join("matched", ",").alias("matched_fields"), score.alias("selection_score")).orderBy(F.desc("selection_score"), search_text(F.col("name")), "id")
 
 
+EDGES = "edge_type string, from_type string, to_type string, `from` string, `to` string, relation string, weight double"
+
+
+def root_of(candidates: DataFrame, explicit: str | None = None) -> str:
+    """The id of the best candidate, or the explicit one, which must be among the candidates."""
+    row = candidates.filter(F.col("id") == explicit).first() if explicit else candidates.first()
+    if row is None:
+        raise LookupError(f"{explicit} is no candidate" if explicit else "nothing matches")
+    return row.id
+
+
+def with_attributes(nodes: DataFrame, attributes: dict[str, DataFrame]) -> DataFrame:
+    """Nodes with the JSON ``attributes`` of their row in the table of their type; null where there is none."""
+    known = None
+    for kind, table in attributes.items():
+        part = table.select(F.lit(kind).alias("type"), F.col("id").cast("string").alias("id"), F.to_json(F.struct(*[c for c in table.columns if c != "id"])).alias("attributes"))
+        known = part if known is None else known.unionByName(part)
+    return nodes.withColumn("attributes", F.lit(None).cast("string")) if known is None else nodes.join(known, ["type", "id"], "left")
+
+
 def extract_layer(tables: dict[EdgeType, DataFrame], frontier: DataFrame, cap: int) -> DataFrame:
     """Edges that touch the frontier, per type the first ``cap`` of them (0: all)."""
-    out = None
+    out = None if tables else frontier.sparkSession.createDataFrame([], EDGES)
     for kind, edges in tables.items():
         ids = lambda t: frontier.filter(F.col("type") == t).select("id")
         a = edges.join(ids(kind.from_type).withColumnRenamed("id", "from"), "from", "left_semi")

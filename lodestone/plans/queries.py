@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import hashing, relations, text
-from lodestone.operators import catalog, chunks, corridor, export, gold, graph, jobs, layered, quality, resolve, subgraph
+from lodestone.operators import canonical, catalog, chunks, corridor, export, gold, graph, jobs, layered, quality, resolve, statistics, subgraph
 from lodestone.plans import lens
-from lodestone.session import materialize, table
+from lodestone.session import materialize, scratch_path, table
 from lodestone.sources import snapshot
 from lodestone.streaming import events as streams
 
@@ -39,19 +39,18 @@ SELECT identity, min(raw_id) AS first_raw_id, subject_entity, relation, object_e
 FROM ided GROUP BY identity, subject_entity, relation, object_entity, negated, speculative"""
 )
 def gold_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.aggregate_facts(gold.identify_facts(lens.raw_assertions(spark, sf_dir)))
+    return gold.aggregate_facts(gold.identify_facts(lens.raw_assertions(spark, sf_dir))).drop("first_confidence")
 
 
 @query(
     f"""WITH {_NAMED}, first AS (SELECT identity, min(raw_id) AS raw_id FROM ided GROUP BY 1)
 SELECT identity, any_value(subject_entity) AS source, any_value(object_entity) AS target, any_value(relation) AS relation,
-       round(greatest(0, least(1, any_value(confidence))), 6) AS edge_confidence
+       greatest(0, least(1, round(min(confidence), 6))) AS edge_confidence
 FROM ided JOIN first USING (identity, raw_id) GROUP BY identity"""
 )
 def edge_view_clamped(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = gold.identify_facts(lens.raw_assertions(spark, sf_dir)).withColumn("confidence", F.round("confidence", 6))
-    first = raw.groupBy("raw_id").agg(F.max("confidence").alias("confidence"))
-    return gold.edge_view(gold.aggregate_facts(raw), first)
+    return gold.edge_view(gold.aggregate_facts(raw))
 
 
 @query(
@@ -60,16 +59,23 @@ SELECT relation, count(DISTINCT identity) AS facts, count(DISTINCT raw_id) AS ev
 )
 def support_by_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
     ided = gold.identify_facts(lens.raw_assertions(spark, sf_dir))
-    return ided.groupBy("relation").agg(F.countDistinct("identity").alias("facts"), F.countDistinct("raw_id").alias("evidence_rows"))
+    ided = materialize(ided, "identified")
+    counted = gold.support(gold.aggregate_facts(ided).drop("support_count"), gold.evidence(ided))
+    return counted.groupBy("relation").agg(F.count("*").alias("facts"), F.sum("support_count").alias("evidence_rows"))
 
 
 @query(
-    """SELECT l_orderkey, l_linenumber, o_orderpriority, l_extendedprice FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey WHERE l_suppkey = 7"""
+    f"""WITH {lens.RAW_SQL}, phrases AS (SELECT DISTINCT raw_id, phrase FROM raw)
+SELECT raw_id, document_id, o_orderpriority, phrase, confidence
+FROM (SELECT DISTINCT raw_id, document_id, confidence FROM raw WHERE subject_entity = 'S7') JOIN (SELECT CAST(o_orderkey AS VARCHAR) AS document_id, o_orderpriority FROM orders) USING (document_id) LEFT JOIN phrases USING (raw_id)"""
 )
 def edge_evidence_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = table(spark, sf_dir, "lineitem").filter("l_suppkey = 7").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
-    return found.join(orders, "l_orderkey", "left").orderBy(F.desc("l_extendedprice"))
+    """Evidence of everything that supplier 7 asserts; the supplier stands for the fact."""
+    raw = lens.raw_assertions(spark, sf_dir)
+    links = raw.select(F.col("subject_entity").alias("identity"), "raw_id", "document_id", "confidence").distinct()
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("document_id"), "o_orderpriority")
+    found = gold.evidence_lookup(links, orders, raw.select("raw_id", "phrase").distinct(), "S7")
+    return found.select("raw_id", "document_id", "o_orderpriority", "phrase", "confidence")
 
 
 @query(f"WITH p AS (SELECT DISTINCT p_type || ' ' || p_name AS phrase FROM part UNION SELECT DISTINCT {lens.phrase_sql()} FROM lineitem) SELECT phrase, {_REL} AS relation, CAST({relations.relation_sql('phrase', 'confidence')} AS DOUBLE) AS confidence FROM p")
@@ -80,13 +86,16 @@ def relation_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_NAMED}, facts AS (SELECT identity, any_value(subject_entity) AS s, any_value(object_entity) AS o, any_value(relation) AS r, count(*) AS n FROM ided GROUP BY 1)
-SELECT 'no evidence' AS rule, count(*) AS facts FROM facts WHERE n < 3 GROUP BY ALL
+    f"""WITH {_NAMED}, facts AS (SELECT identity, any_value(subject_entity) AS s, any_value(object_entity) AS o, count(DISTINCT raw_id) FILTER (negated OR confidence > 0.5) AS n FROM ided GROUP BY 1)
+SELECT 'no evidence' AS rule, count(*) AS facts FROM facts WHERE n < 1 GROUP BY ALL
 UNION ALL SELECT 'self relation', count(*) FROM facts WHERE substr(s, 2) = substr(o, 2) GROUP BY ALL"""
 )
 def fact_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = gold.aggregate_facts(gold.identify_facts(lens.raw_assertions(spark, sf_dir)))
-    keyed = facts.withColumns({"subject_entity": F.substring("subject_entity", 2, 20), "object_entity": F.substring("object_entity", 2, 20), "support_count": F.col("support_count") - 2})
+    """Only negated or sure assertions count as evidence here; the numbers of supplier and part stand for the entities."""
+    ided = materialize(gold.identify_facts(lens.raw_assertions(spark, sf_dir)), "identified")
+    links = gold.evidence(ided.filter(F.col("negated") | (F.col("confidence") > 0.5)))
+    facts = gold.support(gold.aggregate_facts(ided).drop("support_count"), links)
+    keyed = facts.withColumns({"subject_entity": F.substring("subject_entity", 2, 20), "object_entity": F.substring("object_entity", 2, 20)})
     return gold.fact_violations(keyed).groupBy("rule").agg(F.count("*").alias("facts"))
 
 
@@ -141,6 +150,35 @@ def fuzzy_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumn("rank", rank).filter("rank <= 8").select(F.col("entity_type").alias("kind"), "mention", F.col("entity_id").alias("form"), "score", "rank")
 
 
+@query()
+def fuzzy_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full score, sequence ratio included, at its threshold; tests hold it against all pairs."""
+    part = table(spark, sf_dir, "part").select("p_type", "p_name").distinct()
+    mentions = part.select(F.col("p_type").alias("entity_type"), F.col("p_name").alias("mention"))
+    return resolve.candidates(mentions, mentions.select("entity_type", F.col("mention").alias("entity_id"), F.col("mention").alias("form")))
+
+
+def _entity_sql(kind: str, name: str) -> str:
+    return f"'ENT_' || upper(substr(sha256('{kind}' || chr(0) || {name}), 1, 20))"
+
+
+@query(
+    f"""WITH {lens.RAW_SQL}, meant AS (SELECT * REPLACE ({_entity_sql('SUPPLIER', "'supplier ' || substr(subject_entity, 2)")} AS subject_entity, {_entity_sql('PART', "'part ' || substr(object_entity, 2)")} AS object_entity) FROM raw),
+rel AS (SELECT DISTINCT phrase, {_REL} AS relation FROM raw), named AS (SELECT meant.*, relation FROM meant JOIN rel USING (phrase)), ided AS (SELECT *, {lens.identity_sql('relation')} AS identity FROM named)
+SELECT identity, min(raw_id) AS first_raw_id, any_value(subject_entity) AS subject_entity, any_value(relation) AS relation, any_value(object_entity) AS object_entity, any_value(negated) AS negated, count(DISTINCT raw_id) AS support FROM ided GROUP BY identity"""
+)
+def canonical_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentions to facts in durable batches: resolution, relations, identities, evidence."""
+    raw = lens.raw_assertions(spark, sf_dir).withColumns({"subject_mention": F.col("subject_entity"), "object_mention": F.col("object_entity")}).drop("subject_entity", "object_entity").dropDuplicates(["raw_id"])
+    ends = raw.select(F.col("subject_mention").alias("mention_id")).union(raw.select("object_mention")).distinct()
+    is_part = F.col("mention_id").startswith("P")
+    mentions = ends.select("mention_id", F.concat(F.when(is_part, "Part ").otherwise("Supplier#"), F.substring("mention_id", 2, 20)).alias("mention_text"), F.when(is_part, "PART").otherwise("SUPPLIER").alias("entity_type"))
+    store = canonical.Store(spark, scratch_path(spark, "canonical"))
+    canonical.canonicalize(store, mentions, raw)
+    counted = gold.support(store.table("facts"), store.table("evidence")).withColumnRenamed("support_count", "support")
+    return counted.select("identity", "first_raw_id", "subject_entity", "relation", "object_entity", "negated", "support")
+
+
 @query()
 def resolve_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
@@ -195,10 +233,9 @@ def doc_filter_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM benchmark b LEFT JOIN documents d ON contains(d.text, b.text) GROUP BY item_id"""
 )
 def evidence_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each passage is searched in every document: passages are few and their number is checked."""
-    b = layered._few(table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage")), most=100_000)
-    hits = table(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(b), F.contains("text", "passage"))
-    found = hits.groupBy("item_id").agg(F.count("*").alias("documents"), F.min(text.offset_of(F.col("text"), F.col("passage"))).alias("first_offset"))
+    b = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
+    hits = chunks.find_passages(table(spark, sf_dir, "documents"), b, "doc_id", "item_id")
+    found = hits.groupBy("item_id").agg(F.count("*").alias("documents"), F.min("offset").alias("first_offset"))
     return b.select("item_id").join(found, "item_id", "left").select("item_id", F.coalesce("documents", F.lit(0)).alias("documents"), "first_offset", F.col("documents").isNotNull().alias("validated"))
 
 
@@ -222,9 +259,9 @@ def abstract_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.greedy_batches(d, F.col("length"), 12_000, ["doc_id"]).select("doc_id", "batch")
 
 
-@query("SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) // 20 AS BIGINT) AS batch, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 20 + 1 AS INT) AS number FROM documents WHERE lang = 'en'")
+@query("SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) // 20 AS BIGINT) AS batch, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 20 + 1 AS INT) AS number FROM documents")
 def screening_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.screening_batches(table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id"), ["doc_id"])
+    return catalog.screening_batches(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])
 
 
 @query(
@@ -295,8 +332,7 @@ def token_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[ \\t\\r\\n]+', ' ', 'g')) AS page_text FROM pages")
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bare = F.regexp_replace(F.regexp_replace("html", r"(?s)<(script|style)[^>]*>.*?</(script|style)>", " "), r"<[^>]*>", " ")
-    return table(spark, sf_dir, "pages").select("page_id", F.trim(F.regexp_replace(bare, r"[ \t\r\n]+", " ")).alias("page_text"))
+    return table(spark, sf_dir, "pages").select("page_id", text.markup_text(F.col("html")).alias("page_text"))
 
 
 @query(
@@ -331,9 +367,41 @@ def extraction_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- statistics and jobs
 
-@query("SELECT count(*) AS documents, count(DISTINCT doc_id) AS ids, count(DISTINCT lower(lang)) AS langs, count(*) FILTER (n_chars > 1000) AS long_ones FROM documents")
+def _knowledge(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The driver's tables under the names of a knowledge base."""
+    t = lambda name: table(spark, sf_dir, name)
+    return {
+        "documents": t("documents").select(F.col("doc_id").alias("document_id"), F.col("lang").alias("source_type")),
+        "document_revisions": t("documents").select("doc_id", F.sha2("text", 256).alias("content_hash")).distinct(),
+        "processing_jobs": _jobs(spark, sf_dir),
+        "extraction_runs": t("conversations").select(F.col("conv_id").alias("document_id"), F.col("role").alias("pass_name")),
+        "entity_mentions": t("part").select(F.col("p_name").alias("mention_text"), F.col("p_type").alias("entity_type")),
+        "raw_assertions": t("lineitem").select(F.col("l_orderkey").alias("document_id"), (F.col("l_discount") > 0.05).alias("evidence_validated")),
+        "entities": t("supplier").select("s_suppkey"),
+        "assertions": lens.sparse_edges(spark, sf_dir),
+        "entity_resolutions": t("part").select("p_partkey"),
+        "assertion_evidence": t("lineitem").select("l_orderkey"),
+        "entity_documents": t("lineitem").select(F.concat(F.lit("P"), "l_partkey").alias("entity_id"), F.col("l_orderkey").alias("document_id")),
+    }
+
+
+@query(
+    f"""WITH {lens.SPARSE_SQL}
+SELECT (SELECT count(*) FROM documents) AS documents, (SELECT count(*) FROM (SELECT DISTINCT doc_id, sha256(text) FROM documents)) AS document_revisions, (SELECT count(*) FROM events) AS processing_jobs,
+  (SELECT count(*) FROM conversations) AS extraction_runs, (SELECT count(DISTINCT conv_id) FROM conversations) AS extracted_documents, (SELECT count(*) FROM part) AS entity_mentions,
+  (SELECT count(DISTINCT lower(p_name)) FROM part) AS unique_mention_texts, (SELECT count(*) FROM lineitem) AS raw_assertions, (SELECT count(*) FROM lineitem WHERE l_discount > 0.05) AS evidence_validated,
+  (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS assertion_documents, (SELECT count(*) FROM supplier) AS entities, (SELECT count(*) FROM edges) AS assertions, 0 AS relation_types,
+  (SELECT count(*) FROM part) AS resolved_mentions, (SELECT count(*) FROM lineitem) AS evidence_links, 0 AS invalid_records"""
+)
 def quality_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").agg(F.count("*").alias("documents"), F.countDistinct("doc_id").alias("ids"), F.countDistinct(F.lower("lang")).alias("langs"), F.count_if(F.col("n_chars") > 1000).alias("long_ones"))
+    return statistics.totals(_knowledge(spark, sf_dir))
+
+
+@query()
+def knowledge_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested document as JSON; its parts are held against SQL in quality_totals, job_totals and graph_quality."""
+    s = statistics.knowledge_statistics(_knowledge(spark, sf_dir))
+    return s.select(F.to_json(F.struct(*s.columns), {"ignoreNullFields": "false"}).alias("document"))
 
 
 @query("SELECT lang, source, count(*) AS documents FROM documents GROUP BY GROUPING SETS ((lang, source), (lang))")
@@ -374,6 +442,11 @@ def job_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.status_report(_jobs(spark, sf_dir))
 
 
+@query(f"SELECT stage, stage_version, status, count(*) AS jobs FROM {_JOBS} GROUP BY GROUPING SETS ((stage, stage_version, status), (status))")
+def job_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.status_totals(_jobs(spark, sf_dir))
+
+
 @query(f"WITH m AS (SELECT *, (SELECT median(epoch(ts)) FROM events) AS cut FROM {_JOBS}) SELECT stage, count(*) AS recovered FROM m WHERE status = 'RUNNING' AND coalesce(epoch(lease_expires) < cut, epoch(started_at) < cut - 86400) GROUP BY stage")
 def stale_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = _jobs(spark, sf_dir).withColumns({c: F.unix_micros(F.col(c).cast("timestamp")) / 1e6 for c in ("lease_expires", "started_at")})
@@ -541,16 +614,18 @@ def nhop_typed_subgraph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH RECURSIVE e AS (SELECT 'nation_region' AS edge_type, 'n' || n_nationkey AS a, 'r' || n_regionkey AS b FROM nation UNION ALL SELECT 'supplier_nation', 's' || s_suppkey, 'n' || s_nationkey FROM supplier),
-h1 AS (SELECT *, 1 AS hop FROM e WHERE b = 'r1' OR a = 'r1'),
-f1 AS (SELECT a AS id FROM h1 UNION SELECT b FROM h1),
-h2 AS (SELECT *, 2 AS hop FROM e WHERE (a IN (SELECT id FROM f1 WHERE id <> 'r1') OR b IN (SELECT id FROM f1 WHERE id <> 'r1')) AND (a, b) NOT IN (SELECT (a, b) FROM h1))
-SELECT edge_type, hop, count(*) AS edges FROM (SELECT * FROM h1 UNION ALL SELECT * FROM h2) GROUP BY ALL"""
+    """WITH e AS (SELECT 'nation_region' AS edge_type, 'n' || n_nationkey AS a, 'r' || n_regionkey AS b FROM nation UNION ALL SELECT 'supplier_nation', 's' || s_suppkey, 'n' || s_nationkey FROM supplier
+  UNION ALL SELECT 'customer_nation', 'c' || c_custkey, 'n' || c_nationkey FROM customer UNION ALL SELECT 'order_customer', 'o' || o_orderkey, 'c' || o_custkey FROM orders),
+h1 AS (SELECT DISTINCT *, 1 AS hop FROM e WHERE b = 'r1' OR a = 'r1'),
+f1 AS (SELECT a AS id FROM h1 UNION SELECT b FROM h1 EXCEPT SELECT 'r1'),
+h2 AS (SELECT DISTINCT *, 2 AS hop FROM e WHERE (a IN (FROM f1) OR b IN (FROM f1)) AND (edge_type, a, b) NOT IN (SELECT (edge_type, a, b) FROM h1)),
+f2 AS (SELECT a AS id FROM h2 UNION SELECT b FROM h2 EXCEPT SELECT a FROM h1 EXCEPT SELECT b FROM h1),
+h3 AS (SELECT DISTINCT *, 3 AS hop FROM e WHERE (a IN (FROM f2) OR b IN (FROM f2)) AND (edge_type, a, b) NOT IN (SELECT (edge_type, a, b) FROM h1 UNION ALL SELECT (edge_type, a, b) FROM h2))
+SELECT edge_type, hop, count(*) AS edges FROM (SELECT * FROM h1 UNION ALL SELECT * FROM h2 UNION ALL SELECT * FROM h3) GROUP BY ALL"""
 )
 def nhop_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     seeds = table(spark, sf_dir, "region").filter("r_regionkey = 1").select(F.lit("region").alias("type"), F.col("r_regionkey").cast("string").alias("id"))
-    kinds = {k: v for k, v in lens.typed_tables(spark, sf_dir).items() if k.name in ("nation_region", "supplier_nation")}
-    return subgraph.traverse(kinds, seeds, 2, 0)[1].groupBy("edge_type", "hop").agg(F.count("*").alias("edges"))
+    return subgraph.traverse(lens.typed_tables(spark, sf_dir), seeds, 3, 0)[1].groupBy("edge_type", "hop").agg(F.count("*").alias("edges"))
 
 
 @query(
@@ -595,15 +670,16 @@ _LINKED = _key_sql("nation", "n_nationkey").replace("|| n_nationkey ||", "|| s_n
 
 @query(
     f"""WITH n AS (SELECT {_key_sql('supplier', 's_suppkey')} AS node_key, s_nationkey FROM supplier UNION ALL SELECT {_key_sql('nation', 'n_nationkey')}, n_nationkey FROM nation UNION ALL SELECT {_key_sql('region', 'r_regionkey')}, NULL FROM region),
-e AS (SELECT {_key_sql('supplier', 's_suppkey')} AS source_key, {_LINKED} AS target_key FROM supplier ORDER BY 1 LIMIT 40),
-seen AS (SELECT source_key AS node_key FROM e UNION SELECT target_key FROM e)
-SELECT node_key, 'linked' AS how FROM seen UNION ALL
-SELECT node_key, 'alone' FROM n WHERE node_key NOT IN (SELECT {_key_sql('supplier', 's_suppkey')} FROM supplier UNION SELECT {_LINKED} FROM supplier)"""
+e AS (SELECT {_key_sql('supplier', 's_suppkey')} AS source_key, {_LINKED} AS target_key FROM supplier ORDER BY 1 LIMIT 128),
+seen AS (SELECT source_key AS node_key FROM e UNION SELECT target_key FROM e),
+more AS (SELECT node_key FROM n WHERE node_key NOT IN (FROM seen) ORDER BY 1 LIMIT greatest(0, 128 - (SELECT count(*) FROM seen))),
+tied AS (SELECT {_key_sql('supplier', 's_suppkey')} AS node_key FROM supplier UNION SELECT {_LINKED} FROM supplier)
+SELECT node_key, CASE WHEN node_key IN (FROM tied) THEN 'linked' ELSE 'alone' END AS how FROM (FROM seen UNION ALL FROM more)"""
 )
 def graph_view_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {t: table(spark, sf_dir, t) for t in ("region", "nation", "supplier")}
     edges = export.foreign_key_edges(tables, _KEYS, _REFS[1:2]).withColumns({"edge_key": F.col("source_key"), "layer": F.lit("canonical")})
-    nodes, shown = export.graph_view(export.nodes(tables, _KEYS), edges, "all", 40)
+    nodes, shown = export.graph_view(export.nodes(tables, _KEYS), edges, "all", 128)
     linked = edges.select(F.col("source_key").alias("node_key")).unionByName(edges.select(F.col("target_key").alias("node_key"))).distinct().withColumn("tied", F.lit(True))
     return nodes.join(linked, "node_key", "left").select("node_key", F.when(F.col("tied"), "linked").otherwise("alone").alias("how"))
 

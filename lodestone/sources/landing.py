@@ -12,20 +12,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SUFFIXES = (".txt", ".md", ".json", ".pdf")
-FULLTEXT_SUFFIXES = (".xml", ".xml.gz", ".tei.xml", ".txt", ".md", ".json", ".pdf")
+# Suffixes of local full texts, the first that exists wins.
+FULLTEXT_SUFFIXES = (".grobid-xml", ".xml", ".xml.gz", ".txt", ".md", ".json", ".pdf")
 SOURCE_TYPES = ("textbook", "guidelines", "research")
 LANDED = "document_id string, title string, content string, source_type string, path string, error string"
 
 
 def discover(spark: SparkSession, root: str) -> DataFrame:
     """Supported files below ``root``, as binary rows; a single unsupported file is an error."""
-    leaf = root.rstrip("/").rsplit("/", 1)[-1]
-    if "." in leaf and not leaf.lower().endswith(SUFFIXES) and not os.path.isdir(root.removeprefix("file://")):
+    if not root.lower().endswith(SUFFIXES) and is_file(spark, root):
         raise ValueError(f"unsupported file {root}")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return files.filter(F.lower("path").rlike(r"\.(txt|md|json|pdf)$"))
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system that Spark can read is a file."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.exists(place) and system.getFileStatus(place).isFile()
+
+
 def count(spark: SparkSession, root: str) -> int:
     return discover(spark, root).count()
 
@@ -89,7 +96,7 @@ def fulltext_of(name: str, data: bytes) -> str | None:
     low = name.lower()
     if low.endswith(".gz"):
         data, low = gzip.decompress(data), low[:-3]
-    if low.endswith(".xml"):
+    if low.endswith((".xml", ".grobid-xml")):
         return " ".join(t.strip() for t in ET.fromstring(data).itertext() if t.strip())
     if low.endswith(".json"):
         body = json.loads(data)
@@ -98,14 +105,20 @@ def fulltext_of(name: str, data: bytes) -> str | None:
 
 
 def local_fulltexts(spark: SparkSession, root: str, works: DataFrame) -> DataFrame:
-    """``(work_id, path, fulltext)`` of the first local file of each work, by suffix priority then layout."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    suffixes = F.array(*map(F.lit, FULLTEXT_SUFFIXES))
-    leaf = F.regexp_extract("path", r"([^/]+)$", 1)
-    named = files.withColumn("work_id", F.regexp_extract(leaf, r"^([^.]+)\.", 1)).withColumn("suffix", F.lower(F.regexp_extract(leaf, r"^[^.]+(\..+)$", 1)))
-    ranked = named.withColumn("rank", F.array_position(suffixes, F.col("suffix"))).filter("rank > 0").join(works.select("work_id"), "work_id", "left_semi")
-    best = ranked.groupBy("work_id").agg(F.min(F.struct("rank", F.length("path").alias("depth"), "path")).alias("best"))
-    chosen = files.select("path", "content").join(best.select("work_id", F.col("best.path").alias("path")), "path")
+    """``(work_id, path, fulltext)`` of the first local file of each work.
+
+    Files are ``<id><suffix>`` in ``root`` or in a folder named like the id; suffixes go before layouts.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    base = re.sub(r"^[a-z0-9]+:/*", "/", root).rstrip("/") + "/"
+    inside = F.replace(F.regexp_replace("path", r"^[a-z0-9]+:/*", "/"), F.lit(base), F.lit(""))
+    leaf = F.substring_index("path", "/", -1)
+    named = listing.select("path", inside.alias("inside"), F.regexp_extract(leaf, r"^([^.]+)\.", 1).alias("work_id"), F.lower(F.regexp_extract(leaf, r"^[^.]+(\..+)$", 1)).alias("suffix"), leaf.alias("leaf"))
+    layout = F.when(F.col("inside") == F.col("leaf"), 0).when(F.col("inside") == F.concat_ws("/", "work_id", "leaf"), 1)
+    ranked = named.withColumn("rank", F.array_position(F.array(*map(F.lit, FULLTEXT_SUFFIXES)), F.col("suffix"))).withColumn("layout", layout)
+    ranked = ranked.filter("rank > 0 and layout is not null").join(works.select("work_id"), "work_id", "left_semi")
+    best = ranked.groupBy("work_id").agg(F.min(F.struct("rank", "layout", "path")).alias("best"))
+    chosen = listing.select("path", "content").join(best.select("work_id", F.col("best.path").alias("path")), "path")
 
     def run(batches):
         for pdf in batches:

@@ -10,42 +10,50 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PART = r"^part_\d+\.gz$"
-WORK = (
-    "id string, doi string, title string, abstract_inverted_index map<string,array<int>>, publication_year string, language string, type string, "
-    "has_fulltext boolean, has_content struct<grobid_xml:boolean,pdf:boolean>, "
-    "primary_location struct<source:struct<id:string,display_name:string,type:string>,pdf_url:string>, "
-    "locations array<struct<source:struct<id:string,display_name:string,type:string>,pdf_url:string>>, referenced_works array<string>, "
-    "primary_topic struct<id:string,display_name:string,field:struct<id:string>>, topics array<struct<id:string,display_name:string,field:struct<id:string>>>"
-)
-
-
-def _names(value) -> list[str]:
-    """Part names anywhere inside a parsed manifest."""
-    if isinstance(value, str):
-        leaf = value.rstrip("/").rsplit("/", 1)[-1]
-        return [value] if re.match(PART, leaf) else []
-    items = value.values() if isinstance(value, dict) else value if isinstance(value, list) else ()
-    return [n for x in items for n in _names(x)]
+def manifest_parts(text: str) -> list[str]:
+    """Paths, below whatever prefix, of the part files that a manifest names anywhere, in its order."""
+    from urllib.parse import unquote, urlparse
+
+    try:
+        left = [json.loads(text)]
+    except ValueError:
+        return []
+    found = []
+    while left:
+        value = left.pop()
+        if isinstance(value, str):
+            path = unquote(urlparse(value).path).replace("\\", "/")
+            if re.match(PART, path.rsplit("/", 1)[-1]):
+                found.append(path)
+        elif isinstance(value, (dict, list)):
+            left += reversed(list(value.values() if isinstance(value, dict) else value))
+    return list(dict.fromkeys(found))
 
 
 def part_files(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    """``(path, relative, bytes)`` of the parts of an entity.
+    """``(path, relative, bytes)`` of the parts of an entity, in ``root/data``, ``root`` or ``root/data/jsonl``.
 
-    A manifest that names parts is authoritative; otherwise all files named like parts count.
+    A manifest decides which parts count: those whose path below the entity ends one that it names.  If
+    it cannot be parsed, or names none of the files, all files named like parts count.
     """
-    base = f"{root.rstrip('/')}/data/{entity}"
+    top = root.rstrip("/")
+    bases = [f"{d}/{entity}" for d in (f"{top}/data", top, f"{top}/data/jsonl")]
+    base = next((b for b in bases if _exists(spark, b)), None)
+    if base is None:
+        raise FileNotFoundError(f"no folder {entity} below {root}")
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select("path", F.col("length").alias("bytes"))
     parts = listing.filter(F.regexp_extract("path", r"([^/]+)$", 1).rlike(PART))
-    parts = parts.withColumn("relative", F.substring_index("path", f"/data/{entity}/", -1))
-    found = spark.read.text(f"{base}/manifest*", wholetext=True).limit(1).collect() if _exists(spark, f"{base}/manifest") else []
-    if found:
-        try:
-            wanted = sorted({"/".join(n.split("/")[-2:]) for n in _names(json.loads(found[0][0]))})
-        except ValueError:
-            wanted = []
-        if wanted:
-            return parts.join(F.broadcast(spark.createDataFrame([(w,) for w in wanted], "relative string")), "relative", "left_semi").select("path", "relative", "bytes")
-    return parts.select("path", "relative", "bytes")
+    parts = parts.withColumn("relative", F.substring_index("path", f"/{base.rsplit('/', 1)[-1]}/", -1)).select("path", "relative", "bytes")
+    if not _exists(spark, f"{base}/manifest"):
+        return parts
+    named = manifest_parts(spark.read.text(f"{base}/manifest", wholetext=True).first()[0])
+    if not named:
+        return parts
+    # A part is named if some suffix of a named path is its relative path; suffixes make that an equality.
+    suffixes = {"/".join(steps[i:]) for steps in (n.split("/") for n in named) for i in range(len(steps))}
+    wanted = spark.createDataFrame([(x,) for x in sorted(suffixes)], "relative string")
+    matched = parts.join(wanted, "relative", "left_semi").select(*parts.columns)
+    return parts if matched.isEmpty() else matched
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -61,51 +69,79 @@ def compressed_size(parts: DataFrame) -> DataFrame:
 SCANNED = "relative string, line long, record string, error string, message string, records_read long"
 
 
+def _opened(path: str):
+    """A part as a byte stream; file systems that only Spark can open give their parts as a binary column."""
+    from pyarrow import fs
+
+    store, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", re.sub("^s3a:", "s3:", path)))
+    return store.open_input_stream(name, compression=None)
+
+
+def _records(relative: str, stream, strict: bool):
+    import gzip
+
+    line = read = 0
+    try:
+        with gzip.open(stream, "rt", encoding="utf-8") as f:
+            for text in f:
+                line += 1
+                if text.strip():
+                    if not isinstance(json.loads(text), dict):
+                        raise ValueError("a record is no object")
+                    read += 1
+                    yield relative, line, text.strip(), None, None, None
+    except (EOFError, OSError, ValueError) as e:
+        if strict:
+            raise
+        yield relative, None, None, type(e).__name__, str(e), read
+
+
+def _frames(rows, most: int = 5000):
+    names = [f.split()[0] for f in SCANNED.split(", ")]
+    whole = {"line": "Int64", "records_read": "Int64"}
+    held = []
+    for row in rows:
+        held.append(row)
+        if len(held) == most:
+            yield pd.DataFrame(held, columns=names).astype(whole)
+            held = []
+    if held:
+        yield pd.DataFrame(held, columns=names).astype(whole)
+
+
 def scan(spark: SparkSession, parts: DataFrame, strict: bool = False) -> DataFrame:
     """Rows of all parts: a record with its file and 1-based line, or a failure.
 
     Records before a fault are kept, the rest of that part is dropped and one row with ``error`` tells
     how many were read.  Blank lines are skipped but counted.  Parts are gzip and cannot be split, so
-    each is streamed by one task.
+    each is read by one task, as a stream where the tasks can open the file system; elsewhere a part is
+    held whole, up to the 2 GB of a binary column.
     """
-    names = [f.split()[0] for f in SCANNED.split(", ")]
+    import io
 
-    def rows(relative: str, data: bytes):
-        import gzip
-        import io
-
-        line = read = 0
-        try:
-            with gzip.open(io.BytesIO(data), "rt", encoding="utf-8") as f:
-                for text in f:
-                    line += 1
-                    if text.strip():
-                        if not isinstance(json.loads(text), dict):
-                            raise ValueError("a record is no object")
-                        read += 1
-                        yield relative, line, text.strip(), None, None, None
-        except (EOFError, OSError, ValueError) as e:
-            if strict:
-                raise
-            yield relative, None, None, type(e).__name__, str(e), read
-
-    def run(batches):
+    first = parts.select("path").first()
+    if first is None:
+        return spark.createDataFrame([], SCANNED)
+    if re.match(r"(file|hdfs|s3a?|gs|abfss?):", first.path):
+
+        def stream(batches):
+            for pdf in batches:
+                for path, relative in pdf.itertuples(index=False):
+                    with _opened(path) as opened:
+                        yield from _frames(_records(relative, opened, strict))
+
+        # One part a task: names are few, records many.
+        tasks = max(1, min(parts.count(), 100_000))
+        return parts.select("path", "relative").repartition(tasks, "path").mapInPandas(stream, SCANNED)
+
+    def whole(batches):
         for pdf in batches:
             for relative, data in pdf.itertuples(index=False):
-                held = []
-                for row in rows(relative, data):
-                    held.append(row)
-                    if len(held) == 5000:
-                        yield pd.DataFrame(held, columns=names).astype({"line": "Int64", "records_read": "Int64"})
-                        held = []
-                if held:
-                    yield pd.DataFrame(held, columns=names).astype({"line": "Int64", "records_read": "Int64"})
+                yield from _frames(_records(relative, io.BytesIO(data), strict))
 
     chosen = [r.path for r in parts.select("path").collect()]  # file names only, as Spark's own listing holds them
-    if not chosen:
-        return spark.createDataFrame([], SCANNED)
-    files = spark.read.format("binaryFile").load(chosen).join(F.broadcast(parts.select("path", "relative")), "path")
-    return files.select("relative", "content").mapInPandas(run, SCANNED)
+    files = spark.read.format("binaryFile").load(chosen).join(parts.select("path", "relative"), "path")
+    return files.select("relative", "content").mapInPandas(whole, SCANNED)
 
 
 def failures(scanned: DataFrame) -> DataFrame:
@@ -114,36 +150,74 @@ def failures(scanned: DataFrame) -> DataFrame:
 
 def work_id(value: Column) -> Column:
     """The last path segment in upper case if it is ``W`` and digits, else null."""
-    last = F.upper(F.substring_index(F.trim(value), "/", -1))
+    last = F.upper(F.substring_index(F.regexp_replace(value, "/+$", ""), "/", -1))
     return F.when(last.rlike(r"^W\d+$"), last)
 
 
 def field_id(value: Column) -> Column:
-    return F.regexp_extract(value, r"(?:fields/)?(\d+)$", 1).cast("int")
+    """A positive number, by itself or at the end of a path below ``fields``; else null."""
+    text = F.trim(value.cast("string"))
+    number = F.regexp_extract(text, r"(?i)^(?:.*/)?fields/(\d+)/?$|^(\d+)$", 1)
+    number = F.when(number != "", number).otherwise(F.regexp_extract(text, r"^(\d+)$", 1))
+    found = F.nullif(number, F.lit("")).try_cast("int")
+    return F.when(found > 0, found)
 
 
-def field_ids(work: Column) -> Column:
-    topics = F.concat(F.array(work["primary_topic"]["field"]["id"]), F.coalesce(F.transform(work["topics"], lambda t: t["field"]["id"]), F.array().cast("array<string>")))
-    return F.array_distinct(F.filter(F.transform(topics, field_id), lambda x: x.isNotNull()))
+def field_ids(topics: Column) -> Column:
+    """Distinct fields of topics given as JSON, whose field is a number, a text or an object with an id."""
+    raw = F.transform(topics, lambda t: F.coalesce(F.get_json_object(t, "$.field.id"), F.get_json_object(t, "$.field")))
+    kind = F.transform(raw, lambda x: F.when(~x.isin("true", "false"), x))
+    return F.array_distinct(F.filter(F.transform(kind, field_id), lambda x: x.isNotNull()))
 
 
 def restore_abstract(index: Column) -> Column:
-    """Text of an inverted index: words by position, the first word wins a position, gaps are skipped."""
-    entries = F.flatten(F.transform(F.map_entries(index), lambda e, i: F.transform(e.value, lambda p: F.struct(p.alias("at"), i.alias("nth"), e.key.alias("word")))))
+    """Text of an inverted index: words by position, the first word wins a position, gaps are skipped; null if empty."""
+    entries = F.flatten(F.transform(F.map_entries(index), lambda e, i: F.transform(F.filter(e.value, lambda p: p >= 0), lambda p: F.struct(p.alias("at"), i.alias("nth"), e.key.alias("word")))))
     ordered = F.array_sort(entries)
     # The one-element array names the sorted entries once, so they are not sorted again per element.
     first = F.element_at(F.transform(F.array(ordered), lambda o: F.filter(o, lambda x, i: (i == 0) | (F.get(o, i - 1)["at"] != x["at"]))), 1)
-    return F.when(index.isNotNull(), F.array_join(F.transform(first, lambda x: x["word"]), " "))
+    return F.when(index.isNotNull(), F.nullif(F.array_join(F.transform(first, lambda x: x["word"]), " "), F.lit("")))
+
+
+WORK = (
+    "id string, doi string, title string, display_name string, abstract_inverted_index map<string,array<int>>, publication_year string, language string, "
+    "type string, has_fulltext string, has_content string, content_urls map<string,string>, primary_location string, best_oa_location string, "
+    "locations array<string>, referenced_works array<string>, primary_topic string, topics array<string>"
+)
+
+
+def _json(value: Column, path: str) -> Column:
+    """A text member of a JSON column; blank counts as absent."""
+    return F.nullif(F.get_json_object(value, f"$.{path}"), F.lit(""))
 
 
 def works(scanned: DataFrame, max_works: int | None = None) -> DataFrame:
-    """Parsed works with a valid id, in scan order up to ``max_works``."""
-    w = scanned.filter("record is not null").withColumn("w", F.from_json("record", WORK)).withColumn("work_id", work_id(F.col("w.id"))).filter("work_id is not null")
+    """Parsed works with a valid id, in scan order up to ``max_works``.
+
+    Members of another type than expected count as absent, as in a work without them.
+    """
+    w = scanned.filter("record is not null").withColumn("w", F.from_json("record", WORK, {"mode": "PERMISSIVE"})).withColumn("work_id", work_id(F.col("w.id"))).filter("work_id is not null")
+    c = lambda name: F.col(f"w.{name}")
+    none = F.array().cast("array<string>")
+    primary = c("primary_location")
+    places = F.filter(F.concat(F.array(primary), F.coalesce(c("locations"), none)), lambda x: x.isNotNull())
+    source = lambda x: F.struct(_json(x, "source.id").alias("id"), _json(x, "source.display_name").alias("display_name"), _json(x, "source.type").alias("type"), F.get_json_object(x, "$.source").alias("raw"))
+    key = lambda s: F.coalesce(s["id"], s["display_name"])
+    listed = F.filter(F.transform(places, source), lambda s: key(s).isNotNull())
+    sources = F.filter(listed, lambda s, i: ~F.exists(F.slice(listed, F.lit(1), i), lambda other: key(other) == key(s)))
+    links = F.transform(F.filter(F.concat(F.array(c("best_oa_location")), places), lambda x: x.isNotNull()), lambda x: _json(x, "pdf_url"))
+    urls = F.array_distinct(F.filter(F.concat(F.coalesce(F.map_values(c("content_urls")), none), links), lambda u: u.isNotNull() & (u != "")))
+    # has_content is true, or an object with any true member.
+    hinted = (c("has_fulltext") == "true") | (c("has_content") == "true") | F.coalesce(c("has_content").rlike(r":\s*true"), F.lit(False))
+    has = lambda name: F.coalesce(F.get_json_object(c("has_content"), f"$.{name}") == "true", F.lit(False))
+    year = F.when(c("publication_year").rlike(r"^-?\d+$"), c("publication_year").try_cast("int"))
+    blank = lambda x: F.nullif(x, F.lit(""))
     out = w.select(
-        "work_id", "relative", "line", F.col("w.doi").alias("doi"), F.col("w.title").alias("title"), restore_abstract(F.col("w.abstract_inverted_index")).alias("abstract"),
-        F.expr("try_cast(w.publication_year as int)").alias("year"), F.col("w.language").alias("language"), F.col("w.type").alias("type"), field_ids(F.col("w")).alias("fields"),
-        F.coalesce("w.has_content.grobid_xml", F.lit(False)).alias("has_xml"), F.coalesce("w.has_content.pdf", F.lit(False)).alias("has_pdf"),
-        F.array_distinct(F.filter(F.concat(F.array("w.primary_location.source"), F.coalesce(F.transform("w.locations", lambda x: x["source"]), F.array(F.col("w.primary_location.source")))), lambda s: s.isNotNull())).alias("sources"),
-        F.coalesce("w.referenced_works", F.array().cast("array<string>")).alias("references"),
+        "work_id", c("id").alias("full_id"), "relative", "line", F.trim(F.coalesce(blank(c("title")), blank(c("display_name")), F.lit(""))).alias("title"),
+        restore_abstract(c("abstract_inverted_index")).alias("abstract"), blank(c("doi")).alias("doi"), year.alias("year"), blank(c("language")).alias("language"), blank(c("type")).alias("type"),
+        field_ids(F.filter(F.concat(F.array(c("primary_topic")), F.coalesce(c("topics"), none)), lambda t: t.isNotNull())).alias("fields"),
+        sources.alias("sources"), _json(primary, "source.id").alias("primary_source_id"), _json(primary, "source.display_name").alias("primary_source_name"),
+        (F.coalesce(hinted, F.lit(False)) | (F.size(urls) > 0)).alias("has_fulltext"), has("grobid_xml").alias("has_xml"), has("pdf").alias("has_pdf"), urls.alias("fulltext_urls"),
+        F.coalesce(c("referenced_works"), none).alias("references"), F.col("record").alias("raw"),
     )
     return out if max_works is None else out.orderBy("relative", "line").limit(max_works)

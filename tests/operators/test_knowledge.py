@@ -50,7 +50,7 @@ def test_facts(spark):
     facts = {r.first_raw_id: r for r in gold.aggregate_facts(ided).collect()}
     assert set(facts) == {1, 3} and facts[1].relation == "treats" and facts[1].support_count == 2 and facts[1].document_count == 2
     assert gold.evidence(ided).count() == 3
-    view = {r.edge_confidence for r in gold.edge_view(gold.aggregate_facts(ided), raw).collect()}
+    view = {r.edge_confidence for r in gold.edge_view(gold.aggregate_facts(ided)).collect()}
     assert view == {0.95, 1.0}
     links = gold.evidence(ided)
     first = facts[1].identity
@@ -139,7 +139,7 @@ def test_files(spark, tmp_path):
     assert text.splitlines()[:2] == ["id\tconfidence\tflag\tn", "a\t0.9\ttrue\t"]
     back = {r.id: r for r in export.read_tsv(spark, str(tmp_path / "t"), ("flag",), ("n",), "confidence").collect()}
     assert back["a"].flag is True and back["b"].confidence == 1.0 and back["b"].n == 3
-    export.write_manifest(str(tmp_path / "m.json"), {"b": 1, "a": 2})
+    export.write_manifest(spark, str(tmp_path / "m.json"), {"b": 1, "a": 2})
     assert (tmp_path / "m.json").read_text().index('"a"') < (tmp_path / "m.json").read_text().index('"b"')
     assert export.label("2 x") == "SQL_T_2_x"
 

@@ -13,10 +13,31 @@ def one(spark, schema, rows, *cols):
 
 def test_normalizers(spark):
     rows = [("  Type-II  Diabetes ",), ("Kidney-disease_diabetic",), ("Straße, Ünï!",), ("",), (None,)]
-    got = one(spark, "v string", rows, text.alias_key(F.col("v")), text.exact_alias_key(F.col("v")), text.keyword_text(F.col("v")), text.search_text(F.col("v")), text.filter_text(F.col("v")))
-    assert got[0] == ("type ii diabetes", "type ii diabetes", "type ii diabetes", "type-ii diabetes", "  type-ii  diabetes ")
-    assert got[1][0] == "kidney disease diabetic" and got[2][0] == got[2][1] == "strasse ünï"
-    assert got[3][:4] == ("", "", "", "") and got[4][:3] == (None, None, None) and got[4][3] == ""
+    got = one(spark, "v string", rows, text.alias_key(F.col("v")), text.keyword_text(F.col("v")), text.search_text(F.col("v")), text.filter_text(F.col("v")))
+    assert got[0] == ("type ii diabetes", "type ii diabetes", "type-ii diabetes", "  type-ii  diabetes ")
+    assert got[1][0] == "kidney disease diabetic" and got[2][0] == "strasse ünï"
+    assert got[3] == ("", "", "", "") and got[4] == (None, None, "", None)
+
+
+def test_normalizers_follow_unicode(spark):
+    """Compatibility forms, folding, marks and other scripts: every key equals the exact one in Python."""
+    forms = ["ﬁbrosis", "हिन्दी शब्द", "Straße_X", "T2D", "IL-6", "Type 2", "Ⅳ stage", "", "  ", "Ａlpha", "a.b", "²x", "İstanbul", "A\u2003B", "x" * 13, "ABC def GHI"]
+    got = one(spark, "v string", [(f,) for f in forms], *[f(F.col("v")) for f in (text.alias_key, text.compact_key, text.looks_like_abbreviation, text.abbreviation_key, text.filter_text)])
+    for form, keys in zip(forms, got):
+        words = text.alias_words(form)
+        assert keys == (" ".join(words), text.squeezed(form), text.is_brief(form), text.initials(words), text.compatible(form))
+    assert text.alias_words("ﬁbrosis") == ["fibrosis"] and text.alias_words("हिन्दी") == ["ह", "न", "द"]
+    ids = one(spark, "v string", [("ﬁbrosis",), ("Fibrosis ",)], hashing.entity_id(F.lit("D"), F.col("v")))
+    assert ids[0] == ids[1]
+
+
+def test_json_strings_and_six_digits(spark):
+    values = ['a"b', "x\x0by", "\x1f", "tab\t", "\\u000B", "back\\\x0b", "é", "\n\r\b\f", ""]
+    got = one(spark, "v string", [(v,) for v in values] + [(None,)], hashing.json_string(F.col("v")))
+    assert [g[0] for g in got] == [json.dumps(v, ensure_ascii=False) for v in values] + [None]
+    numbers = [0.9, 1.0, 123456.7, 1234567.0, 0.0001, 0.00001234, -2.5, 0.0, 1e20, 99999.95, 5e-324, float("inf"), float("nan")]
+    got = one(spark, "v double", [(v,) for v in numbers] + [(None,)], text.six_digits(F.col("v")))
+    assert [g[0] for g in got] == [f"{v:.6g}" for v in numbers] + [None]
 
 
 def test_keys(spark):

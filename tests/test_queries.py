@@ -26,7 +26,9 @@ def duck():
 def cell(v):
     if v is None or (pd.api.types.is_scalar(v) and pd.isna(v)):
         return "null"
-    return repr(round(float(v), 6)) if isinstance(v, float) else str(v)
+    if isinstance(v, float):  # a column of whole numbers with nulls comes as floats from one engine
+        return str(int(v)) if v.is_integer() else repr(round(float(v), 6))
+    return str(v)
 
 
 def rows(frame):

@@ -77,3 +77,55 @@ def test_fulltexts(spark, tmp_path):
     works = spark.createDataFrame([("W1",), ("W2",), ("W3",)], "work_id string")
     got = {r.work_id: r.fulltext for r in landing.local_fulltexts(spark, str(tmp_path), works).collect()}
     assert got == {"W1": "one two", "W2": "json body"}
+    for folder in ("W2", "deep/er"):
+        (tmp_path / folder).mkdir(parents=True)
+    (tmp_path / "W2/W2.grobid-xml").write_bytes(b"<t>first <i>of all</i></t>")
+    (tmp_path / "W3.tei.xml").write_bytes(b"<t>no layout of ours</t>")
+    (tmp_path / "deep/er/W3.txt").write_text("neither place")
+    got = {r.work_id: r.fulltext for r in landing.local_fulltexts(spark, str(tmp_path), works).collect()}
+    assert got == {"W1": "one two", "W2": "first of all"}
+
+
+def test_manifest_names_parts_by_the_end_of_their_path(spark, tmp_path):
+    flat = tmp_path / "works"
+    flat.mkdir()
+    for i in range(3):
+        (flat / f"part_000{i}.gz").write_bytes(gzip.compress(json.dumps(work(i, "t", 27)).encode()))
+    named = lambda: sorted(r.relative for r in snapshot.part_files(spark, str(tmp_path), "works").collect())
+    manifest = flat / "manifest"
+    manifest.write_text(json.dumps({"files": [{"a": ["https://h.org/b/works/part%5F0000.gz?x=1"]}, {"note": "s3://x/part_0002.gz"}]}))
+    assert named() == ["part_0000.gz", "part_0002.gz"]
+    manifest.write_text(json.dumps(["s3://b/works/part_0009.gz"]))
+    assert named() == ["part_0000.gz", "part_0001.gz", "part_0002.gz"]  # names none of ours
+    manifest.write_text("not json")
+    assert len(named()) == 3
+    with pytest.raises(FileNotFoundError):
+        snapshot.part_files(spark, str(tmp_path), "authors")
+
+
+def test_ids_of_works_and_fields(spark):
+    ids = ["https://x.org/W12/", "w7", "W", "https://x.org/w3", "", None]
+    got = spark.createDataFrame([(i,) for i in ids], "v string").select(snapshot.work_id(F.col("v"))).collect()
+    assert [r[0] for r in got] == ["W12", "W7", None, "W3", None, None]
+    fields = ["https://x/fields/27/", "none", "https://x/topics/27", "27", "0", " fields/13 ", "", None, "https://x/fields/99999999999", "FIELDS/5"]
+    got = spark.createDataFrame([(i,) for i in fields], "v string").select(snapshot.field_id(F.col("v"))).collect()
+    assert [r[0] for r in got] == [27, None, None, 27, None, 13, None, None, None, 5]
+
+
+def test_the_whole_record_of_a_work(spark, tmp_path):
+    (tmp_path / "data/works").mkdir(parents=True)
+    source = lambda i, name=None: {"source": {"id": i, "display_name": name, "type": "journal"}, "pdf_url": f"http://p/{i}" if i else ""}
+    rows = [
+        work(1, " A title ", 27, doi="10.1/x", language="en", type="article", primary_location=source("S1", "First"), locations=[source("S2"), source("S1", "again"), source(None, None), None], best_oa_location=source("S9"), content_urls={"pdf": "http://c", "xml": ""}, has_content={"pdf": False}, referenced_works=["W5"]),
+        {"id": "https://x.org/W2/", "title": None, "display_name": "Other name", "publication_year": "2020", "abstract_inverted_index": {}, "topics": [{"field": 13}, {"field": True}, {"field": "https://x/fields/28"}, 7], "primary_topic": {"field": {"id": 13}}, "has_content": True},
+        {"id": "W3", "publication_year": 1999, "abstract_inverted_index": {"a": [0, -1], "b": [0, 2]}, "topics": "none", "locations": None, "has_fulltext": False},
+    ]
+    (tmp_path / "data/works/part_0001.gz").write_bytes(gzip.compress("\n".join(map(json.dumps, rows)).encode()))
+    got = {r.work_id: r for r in snapshot.works(snapshot.scan(spark, snapshot.part_files(spark, str(tmp_path), "works"))).collect()}
+    a, b, c = got["W1"], got["W2"], got["W3"]
+    assert (a.title, a.doi, a.language, a.type, a.year, a.full_id) == ("A title", "10.1/x", "en", "article", 2020, "https://x.org/W1")
+    assert [s.id for s in a.sources] == ["S1", "S2"] and (a.primary_source_id, a.primary_source_name) == ("S1", "First")
+    assert a.fulltext_urls == ["http://c", "http://p/S9", "http://p/S1", "http://p/S2"] and a.has_fulltext and a.references == ["W5"]
+    assert (b.title, b.year, b.abstract, b.fields, b.has_fulltext, b.fulltext_urls) == ("Other name", 2020, None, [13, 28], True, [])
+    assert (c.title, c.year, c.abstract, c.fields, c.sources, c.has_fulltext) == ("", 1999, "a b", [], [], False)
+    assert json.loads(a.raw)["id"] == "https://x.org/W1"
