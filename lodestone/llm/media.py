@@ -6,7 +6,9 @@ timescale, duration, samples and the byte ranges of key frames; payloads are nev
 positive multiple of ``SAMPLE`` bytes, becomes one track of uncompressed 8x8 RGB samples, ``SAMPLE``
 bytes each, dealt over chunks.  A null text is the empty text.  Equal texts give equal bytes.
 
-A file that cannot be walked yields null features and an ``error``; nothing raises.
+A file that cannot be walked yields null features and an ``error`` in :func:`probe`.  Rows that repeat give
+equal files; very long texts are stored whole, in memory of the order of the text; an empty table gives an
+empty result.  Other columns stay; those named like a new column give way to it.
 """
 
 from __future__ import annotations

@@ -1,35 +1,15 @@
-"""Joins, scatters and prefix sums that no single key can load onto one task."""
+"""Scatters and row places that no single key can load onto one task; joins and prefix sums come from the core."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.operators.skew import FEW, counted_join, prefix_sums, salted_join
 from lodestone.session import materialize
 
+__all__ = ["FEW", "FILE", "ROW", "counted_join", "is_scan", "placed", "prefix_sums", "salted_join", "spread"]
 FILE, ROW = "__file", "__row"
-_SALT = "__salt"
-#: Rows of a side that may be broadcast after they were counted.
-FEW = 10_000
-
-
-def salted_join(wide: DataFrame, thin: DataFrame, keys: list[str], salt: Column, how: str = "inner", salts: int = 16, hint: str | None = None) -> DataFrame:
-    """``wide`` joined to ``thin`` on ``keys``, where ``thin`` has at most a few rows per key.
-
-    Rows of ``wide`` that share a key are dealt over ``salts`` tasks by the integer column ``salt``; every
-    row of ``thin`` is repeated once per salt, so the cost is ``salts`` times the smaller side.  Whether the
-    repeated side is broadcast is left to Spark's size check.
-    """
-    dealt = wide.withColumn(_SALT, F.pmod(salt, F.lit(salts)).cast("int"))
-    repeated = thin.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(repeated.hint(hint) if hint else repeated, [*keys, _SALT], how).drop(_SALT)
-
-
-def counted_join(wide: DataFrame, thin: DataFrame, keys: list[str], salt: Column, how: str = "inner", few: int = FEW) -> DataFrame:
-    """As :func:`salted_join`, but a ``thin`` table of at most ``few`` rows, counted first, is broadcast."""
-    if thin.count() <= few:
-        return wide.join(F.broadcast(thin), keys, how)
-    return salted_join(wide, thin, keys, salt, how)
 
 
 def spread(table: DataFrame, h: str, place: Column, limit: int, few: int = FEW) -> DataFrame:
@@ -39,20 +19,6 @@ def spread(table: DataFrame, h: str, place: Column, limit: int, few: int = FEW)
     return marked.withColumn(h, F.when(F.col("__hot"), F.col("__place")).otherwise(F.col(h))).drop("__hot", "__place")
 
 
-def prefix_sums(rows: DataFrame, keys: list[str], order: str, value: str, out: str, block: int = 1000) -> DataFrame:
-    """``(keys, order, out)``: the sum of ``value`` over the smaller ``order`` numbers of the same keys.
-
-    Sums run inside blocks of ``block`` order numbers and then over the blocks, so one task sees the blocks
-    of a key, not its rows.
-    """
-    parted = rows.select(*keys, order, value, F.floor(F.col(order) / block).cast("long").alias("__block"))
-    inside = Window.partitionBy(*keys, "__block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = parted.groupBy(*keys, "__block").agg(F.sum(value).alias("__sum")).withColumn("__start", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
-    placed = parted.withColumn("__inner", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(blocks, [*keys, "__block"])
-    return placed.select(*keys, order, (F.col("__start") + F.col("__inner")).alias(out))
-
-
 def is_scan(df: DataFrame) -> bool:
     """Whether rows still know their place in the files that they come from."""
     return "_metadata#" in df._jdf.queryExecution().analyzed().metadataOutput().mkString(",")

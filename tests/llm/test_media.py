@@ -78,3 +78,18 @@ def test_columns(spark):
     odd = spark.createDataFrame([(bytearray(foreign()),), (None,), (bytearray(b"junk data"),)], "media binary")
     seen = media.probe(odd).collect()
     assert seen[0].codec == "mp4a" and len(seen[0].key_ranges) == 2 and seen[1].error is None and seen[2].error
+
+
+def test_feature_and_clashing_columns(spark):
+    """The feature, from the writer's own rules: samples of 192 bytes, a key frame every twelfth, samples end to end."""
+    texts = {1: None, 2: "x" * 192, 3: "é" * 5000, 4: ""}
+    df = spark.createDataFrame([(i, t, "mine", "mine") for i, t in texts.items()] * 2, "doc_id long, text string, feature string, codec string")
+    stored = media.store_text(df, drop=("text",))
+    out = media.read_back(stored).collect()
+    assert len(out) == 8 and {r.codec for r in out} == {"mine"}
+    for r in out:
+        n = max(1, -(-len((texts[r.doc_id] or "").encode()) // media.SAMPLE))
+        first = r.media_bytes - n * media.SAMPLE
+        ranges = ",".join(f"{first + k * media.SAMPLE}+{media.SAMPLE}" for k in range(0, n, media.KEY_EVERY))
+        assert r.feature == f"codec=raw;timescale={media.TIMESCALE};duration={n};samples={n};keys={-(-n // media.KEY_EVERY)};ranges={ranges}"
+    assert media.read_back(media.store_text(df.limit(0))).collect() == []
