@@ -548,12 +548,12 @@ l0 AS (SELECT node, false AS carry FROM m WHERE node IN ({_LEFT}))
 SELECT step, kind, count(*) AS states FROM (""" + " UNION ALL ".join(f"SELECT {i} AS step, CASE WHEN carry THEN 'carry' ELSE 'entity' END AS kind FROM l{i}" for i in range(5)) + ") GROUP BY ALL"
 )
 def time_expanded_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """States before pruning; every one of them is on a complete walk, as arcs only lead nearer."""
+    """States on complete walks; the SQL counts all states, since arcs only lead nearer and so none is pruned."""
     edges = materialize(lens.sparse_edges(spark, sf_dir), "sparse-edges")
     a, b = _seeds(spark, sf_dir, *_ODD), _seeds(spark, sf_dir, *_EVEN)
     m = materialize(corridor.membership(edges, a, b, 4), "members")
     arcs = materialize(corridor.build_arcs(m, edges, "undirected", corridor.Limits(edges_per_node=10_000))[0], "arcs")
-    nodes, _ = corridor.expand(a, b, m, arcs, 4, corridor.Limits())
+    nodes, _ = corridor.complete_walks(*corridor.expand(a, b, m, arcs, 4, corridor.Limits()), b, 4)
     return nodes.groupBy("step", "kind").agg(F.count("*").alias("states"))
 
 
@@ -589,7 +589,16 @@ def layered_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layered.rejected_edges("source", 2, d, edges, "undirected").groupBy("reason").agg(F.count("*").alias("edges"))
 
 
-@query()
+_MERGED = "string_agg(DISTINCT relation, '|' ORDER BY relation) AS relation_types, string_agg(DISTINCT edge_id, '|' ORDER BY edge_id) AS relation_ids, max(confidence) AS confidence, 'kg_edge' AS edge_kind"
+
+
+@query(
+    f"""WITH {lens.SPARSE_SQL}
+SELECT 's::d000::S1' AS source_node, 's::d001::' || target AS target_node, {_MERGED} FROM edges WHERE source = 'S1' GROUP BY target
+UNION ALL SELECT 't::d001::' || target, 't::d000::S2', {_MERGED} FROM edges WHERE source = 'S2' GROUP BY target
+UNION ALL SELECT 's::d001::' || a.target, 't::d001::' || b.target, 'frontier_bridge', '', 1.0, 'bridge_edge'
+FROM (SELECT DISTINCT target FROM edges WHERE source = 'S1') a, (SELECT DISTINCT target FROM edges WHERE source = 'S2') b"""
+)
 def layered_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = materialize(lens.sparse_edges(spark, sf_dir), "sparse-edges")
     return layered.build_network(edges, _seeds(spark, sf_dir, "S1"), _seeds(spark, sf_dir, "S2"), 1, 1).edges
@@ -606,7 +615,24 @@ def seed_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layered.match_entities(e, words)
 
 
-@query()
+def _hop_sql(n: int) -> str:
+    """Edges at the frontier before hop ``n``, capped by type, and the nodes that they reach first."""
+    seen = " UNION ALL ".join(f"SELECT kind, id FROM n{i}" for i in range(n))
+    return f"""h{n} AS (SELECT edge_type, ft, tt, f, t FROM (SELECT *, row_number() OVER (PARTITION BY edge_type ORDER BY CASE WHEN edge_type = 'nation_region' THEN 0 ELSE -w END, f, t) AS r
+  FROM e WHERE (ft, f) IN (SELECT (kind, id) FROM n{n - 1}) OR (tt, t) IN (SELECT (kind, id) FROM n{n - 1})) WHERE r <= 25),
+n{n} AS (SELECT kind, id FROM (SELECT ft AS kind, f AS id FROM h{n} UNION SELECT tt, t FROM h{n}) WHERE (kind, id) NOT IN (SELECT (kind, id) FROM ({seen})))"""
+
+
+@query(
+    f"""WITH e AS (SELECT 'nation_region' AS edge_type, 'nation' AS ft, 'region' AS tt, CAST(n_nationkey AS VARCHAR) AS f, CAST(n_regionkey AS VARCHAR) AS t, 1.0 AS w FROM nation
+  UNION ALL SELECT 'supplier_nation', 'supplier', 'nation', CAST(s_suppkey AS VARCHAR), CAST(s_nationkey AS VARCHAR), s_acctbal FROM supplier
+  UNION ALL SELECT 'customer_nation', 'customer', 'nation', CAST(c_custkey AS VARCHAR), CAST(c_nationkey AS VARCHAR), c_acctbal FROM customer
+  UNION ALL SELECT 'order_customer', 'order', 'customer', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_totalprice FROM orders),
+n0 AS (SELECT 'region' AS kind, '1' AS id),
+{", ".join(_hop_sql(n) for n in (1, 2, 3))}
+SELECT 'node' AS what, kind, hop, count(*) AS n FROM ({" UNION ALL ".join(f"SELECT kind, id, {i} AS hop FROM n{i}" for i in range(4))}) GROUP BY ALL
+UNION ALL SELECT 'edge', edge_type, hop, count(*) FROM (SELECT edge_type, f, t, min(hop) AS hop FROM ({" UNION ALL ".join(f"SELECT *, {i} AS hop FROM h{i}" for i in (1, 2, 3))}) GROUP BY ALL) GROUP BY ALL"""
+)
 def nhop_typed_subgraph(spark: SparkSession, sf_dir: str) -> DataFrame:
     seeds = table(spark, sf_dir, "region").filter("r_regionkey = 1").select(F.lit("region").alias("type"), F.col("r_regionkey").cast("string").alias("id"))
     nodes, edges = subgraph.traverse(lens.typed_tables(spark, sf_dir), seeds, 3, 25)

@@ -53,6 +53,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def require_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
+    """Raises an error that lists the tables which a data directory lacks."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    places = {n: jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{n}.parquet") for n in names}
+    if lost := [n for n, p in places.items() if not p.getFileSystem(conf).exists(p)]:
+        raise FileNotFoundError(f"{sf_dir} lacks {', '.join(sorted(lost))}")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared scratch folder of this application.
 
@@ -90,7 +98,26 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a path from any file system of Spark."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table that :func:`materialize` wrote and that nothing reads any more."""
+    if path := getattr(df, "_scratch_path", None):
+        delete(df.sparkSession, path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes all scratch tables of this application; call it when its results have been written elsewhere."""
+    delete(spark, scratch_root(spark))
 
 
 def cores(spark: SparkSession) -> int:

@@ -129,3 +129,23 @@ def test_the_whole_record_of_a_work(spark, tmp_path):
     assert (b.title, b.year, b.abstract, b.fields, b.has_fulltext, b.fulltext_urls) == ("Other name", 2020, None, [13, 28], True, [])
     assert (c.title, c.year, c.abstract, c.fields, c.sources, c.has_fulltext) == ("", 1999, "a b", [], [], False)
     assert json.loads(a.raw)["id"] == "https://x.org/W1"
+
+
+def test_required_tables_and_scratch(spark, tmp_path):
+    from lodestone import session
+
+    spark.range(3).write.parquet(str(tmp_path / "orders.parquet"))
+    session.require_tables(spark, str(tmp_path), ["orders"])
+    with pytest.raises(FileNotFoundError, match="lacks customer, nation"):
+        session.require_tables(spark, str(tmp_path), ["nation", "orders", "customer"])
+    kept, gone = session.materialize(spark.range(5), "a"), session.materialize(spark.range(5), "b")
+    session.discard(gone)
+    assert kept.count() == 5
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        gone.count()
+
+
+def test_command_line_lists_queries(capsys):
+    from lodestone.__main__ import main
+
+    assert main(["list"]) == 0 and "gold_facts" in capsys.readouterr().out.split()
