@@ -170,13 +170,25 @@ def field_ids(topics: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(kind, field_id), lambda x: x.isNotNull()))
 
 
+def _named(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it: the element of a one-element array."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def invert_abstract(words: Column) -> Column:
+    """Inverted index of an array of words: the positions of each distinct word; made in the row, whatever its id."""
+    # Equal words stand side by side after the sort; every start of such a run knows where the run ends.
+    placed = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at"))))
+    starts = lambda o: F.filter(F.transform(o, lambda x, i: i), lambda i: (i == 0) | (F.get(o, i - 1)["word"] != F.get(o, i)["word"]))
+    run = lambda o, s, i, n: F.struct(F.get(o, i)["word"].alias("word"), F.transform(F.slice(o, i + 1, F.coalesce(F.get(s, n + 1), F.size(o)) - i), lambda e: e["at"]).alias("at"))
+    return F.map_from_entries(_named(placed, lambda o: _named(starts(o), lambda s: F.transform(s, lambda i, n: run(o, s, i, n)))))
+
+
 def restore_abstract(index: Column) -> Column:
     """Text of an inverted index: words by position, the first word wins a position, gaps are skipped; null if empty."""
     entries = F.flatten(F.transform(F.map_entries(index), lambda e, i: F.transform(F.filter(e.value, lambda p: p >= 0), lambda p: F.struct(p.alias("at"), i.alias("nth"), e.key.alias("word")))))
-    ordered = F.array_sort(entries)
-    # The one-element array names the sorted entries once, so they are not sorted again per element.
-    first = F.element_at(F.transform(F.array(ordered), lambda o: F.filter(o, lambda x, i: (i == 0) | (F.get(o, i - 1)["at"] != x["at"]))), 1)
-    return F.when(index.isNotNull(), F.nullif(F.array_join(F.transform(first, lambda x: x["word"]), " "), F.lit("")))
+    first = _named(F.sort_array(entries), lambda o: F.filter(o, lambda x, i: (i == 0) | (F.get(o, i - 1)["at"] != x["at"])))
+    return _named(F.array_join(F.transform(first, lambda x: x["word"]), " "), lambda text: F.nullif(text, F.lit("")))
 
 
 WORK = (

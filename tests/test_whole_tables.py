@@ -86,3 +86,11 @@ def test_every_conversation_is_stacked(spark, data):
         parts = [f"[WORK {t}]\nTitle: {('user', 'assistant')[t % 2]}\nDOI: \ntext {c} {t}\n[/WORK {t}]" for t in range(c % 3 + 1)]
         want[c] = hashlib.sha256("\n\n".join(parts).encode()).hexdigest()
     assert got == want
+
+
+def test_every_row_of_a_document_is_restored(spark, tmp_path):
+    """Rows without letters or text, and rows that share an id, come back as in the SQL, one by one."""
+    rows = [(1, "b a,b  c a"), (1, "x y x"), (2, "123 --"), (3, ""), (4, None), (5, "one")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, QUERIES["restore_abstract"](spark, str(tmp_path)).collect()), key=str)
+    assert got == sorted([(1, "b a b c a"), (1, "x y x"), (2, ""), (3, ""), (4, None), (5, "one")], key=str)
