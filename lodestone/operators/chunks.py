@@ -39,8 +39,10 @@ def evidence_validated(content: Column, evidence: Column) -> Column:
 def _inner_words(text: Column, n: int) -> Column:
     """Hashes of the runs of ``n`` words of a text."""
     words = F.filter(F.split(text, WHITE), lambda w: w != "")
-    at = F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1)))
-    return F.when(F.size(words) >= n, F.transform(at, lambda i: F.xxhash64(F.array_join(F.slice(words, i, F.lit(n)), " "))))
+    at = lambda o: F.sequence(F.lit(1), F.greatest(F.size(o) - (n - 1), F.lit(1)))
+    runs = lambda o: F.when(F.size(o) >= n, F.transform(at(o), lambda i: F.xxhash64(F.array_join(F.slice(o, i, F.lit(n)), " "))))
+    # The one-element array names the words once, so the text is not split again per run.
+    return F.element_at(F.transform(F.array(words), runs), 1)
 
 
 WHITE = r"[\x20\x09-\x0D]+"
@@ -63,7 +65,9 @@ def find_passages(docs: DataFrame, passages: DataFrame, id_col: str, passage_id:
     met = None
     if not anchored.isEmpty():
         keys = anchored.select("__run").distinct()
-        thin = counted_join(docs.select("__id", F.sha2("__text", 256).alias("__sha"), F.explode(F.array_distinct(_inner_words(F.col("__text"), inner))).alias("__run")), keys, ["__run"], F.xxhash64("__id"), "inner", 1_000_000)
+        # Hashes and runs are made below the explosion, so no text is copied or hashed per run; an outer one has no filter that makes the runs again.
+        hashed = docs.select("__id", F.sha2("__text", 256).alias("__sha"), F.array_distinct(_inner_words(F.col("__text"), inner)).alias("__runs"))
+        thin = counted_join(hashed.select("__id", "__sha", F.explode_outer("__runs").alias("__run")), keys, ["__run"], F.xxhash64("__id"), "inner", 1_000_000)
         # Few documents hold a run, so texts are joined to those alone.
         pairs = materialize(salted_join(thin, anchored.select("__run", "__item", "__passage"), ["__run"], F.xxhash64("__id")).select("__sha", "__item", "__passage").distinct(), "passage-pairs")
         keyed = docs.withColumn("__sha", F.sha2("__text", 256))

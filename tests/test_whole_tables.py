@@ -94,3 +94,16 @@ def test_every_row_of_a_document_is_restored(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted(map(tuple, QUERIES["restore_abstract"](spark, str(tmp_path)).collect()), key=str)
     assert got == sorted([(1, "b a b c a"), (1, "x y x"), (2, ""), (3, ""), (4, None), (5, "one")], key=str)
+
+
+def test_passages_are_found_in_long_documents_in_one_reading(spark, tmp_path):
+    """A text of 30,000 words is split once, not once per run of words."""
+    import time
+
+    words = " ".join(f"w{i % 997}x{i % 31}" for i in range(30_000))
+    spark.createDataFrame([(1, words), (2, "w0x0 " + words), (3, None)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, words[-200:]), (8, "not in any of the texts at all")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    began = time.perf_counter()
+    got = {r.item_id: (r.documents, r.first_offset, r.validated) for r in QUERIES["evidence_validated"](spark, str(tmp_path)).collect()}
+    assert got == {7: (2, words.find(words[-200:]), True), 8: (0, None, False)}
+    assert time.perf_counter() - began < 60
