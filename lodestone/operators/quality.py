@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.operators.graph import connected_components
+from lodestone.session import materialize
 
 
 def ratio(part: Column, whole: Column, places: int = 4) -> Column:
@@ -20,7 +21,8 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 def singleton_edges(edges: DataFrame) -> DataFrame:
     """Edges both of whose ends have degree 1."""
-    alone = degrees(edges).filter("degree = 1").select("node")
+    # Written first, so that a short list is broadcast instead of shuffling all edges to it.
+    alone = materialize(degrees(edges).filter("degree = 1").select("node"), "degree-one")
     return edges.join(alone.withColumnRenamed("node", "source"), "source", "left_semi").join(alone.withColumnRenamed("node", "target"), "target", "left_semi")
 
 
