@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.operators.quality import graph_quality, ratio
+from lodestone.session import materialize
 
 #: Total name, table it counts, and what of the table: rows, distinct values of a column, or rows that pass.
 TOTALS: list[tuple[str, str, str, Column | str | None]] = [
@@ -67,6 +68,9 @@ def knowledge_statistics(tables: dict[str, DataFrame]) -> DataFrame:
     ``relation``, and ``entity_documents``; without them they are null.
     """
     spark = next(iter(tables.values())).sparkSession
+    if "assertions" in tables and "entity_documents" in tables:
+        # Counted and searched several times, but made once, with the columns that count.
+        tables = tables | {"assertions": materialize(tables["assertions"].select("source", "target", "relation"), "assertions")}
     given = tables.get
     row = totals(tables)
     named = lambda df, a, b: df.withColumnRenamed(a, b)
