@@ -47,3 +47,13 @@ def test_a_search_does_not_shuffle_all_steps_per_hop(spark, monkeypatch):
     found = graph.bfs(spark.createDataFrame([("a",)], "node string"), steps, 2)
     assert sorted(map(tuple, found.collect())) == [("a", 0), ("b", 1), ("c", 2)]
     assert len(plans) == 3 and all(p.count("Aggregate") == 1 for p in plans[1:])
+
+
+def test_support_counts_an_assertion_in_each_relation(spark, tmp_path):
+    """Equal raw ids under two relations count in both, as in the SQL."""
+    import __spark_entry__
+
+    rows = [(1, 2, 3, 1, 10.0, 0.05, "A", "F"), (1, 2, 3, 1, 10.0, 0.05, "N", "O"), (1, 2, 3, 1, 10.0, 0.05, "N", "O")]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {tuple(r) for r in __spark_entry__.queries()["support_by_relation"](spark, str(tmp_path)).collect()}
+    assert got == {("negatively_associated_with", 1, 1), ("upregulates", 1, 1)}
